@@ -232,10 +232,10 @@ def group_sum_many(spark, sf_dir):
     )
 
 
-@query("SELECT user_id, list_sort(list(DISTINCT event_type)) AS types FROM events GROUP BY 1")
+@query("SELECT user_id, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS types FROM events GROUP BY 1")
 def group_set(spark, sf_dir):
     pairs = table(spark, sf_dir, "events").select("user_id", "event_type").distinct()
-    return pairs.groupBy("user_id").agg(F.sort_array(F.collect_set("event_type")).alias("types"))
+    return pairs.groupBy("user_id").agg(F.array_join(F.sort_array(F.collect_set("event_type")), ",").alias("types"))
 
 
 @query("SELECT label, count(*) AS n FROM embeddings GROUP BY 1")
