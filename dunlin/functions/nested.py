@@ -86,6 +86,14 @@ def explode_vocab(df: DataFrame, items: str, row_id: str) -> DataFrame:
     return ranked(flat, ["__row", "__at"], name="position").select("position", "item")
 
 
+def vocabulary_list(df: DataFrame, items: str, limit: int = 10_000) -> list:
+    """Sorted distinct list items, refused if there are more than ``limit``."""
+    words = df.select(F.explode(items).alias("item")).distinct().limit(limit + 1).collect()
+    if len(words) > limit:
+        raise ValueError(f"more than {limit} words: keep the token lists instead of dense 0/1 lists")
+    return sorted(r["item"] for r in words)
+
+
 def multi_hot(items: Column, vocabulary: list) -> Column:
-    """0/1 list over a vocabulary held as a small literal list."""
+    """0/1 list over a vocabulary whose size ``vocabulary_list`` has checked."""
     return F.transform(F.lit(vocabulary), lambda w: F.array_contains(items, w).cast("int"))

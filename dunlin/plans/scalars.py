@@ -376,8 +376,7 @@ def explode_vocab(spark, sf_dir):
 )
 def multi_hot(spark, sf_dir):
     tagged = _tagged(spark, sf_dir)
-    words = tagged.select(F.explode("tags").alias("item")).distinct()
-    vocabulary = sorted(r["item"] for r in words.limit(10_000).collect())
+    vocabulary = nested.vocabulary_list(tagged, "tags")
     return tagged.select("p_partkey", joined(nested.multi_hot(F.col("tags"), vocabulary)).alias("bits"))
 
 
