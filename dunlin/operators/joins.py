@@ -90,3 +90,13 @@ def eps_join(
     inside = F.col("distance") < eps if strict else F.col("distance") <= eps
     other = [c for c in renamed.columns if not c.startswith("__r_")]
     return joined.where(inside).select(*left.columns, *other, "distance")
+
+
+BROADCAST_ROWS = 100_000
+
+
+def lookup_join(big: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join to a table with unique keys: broadcast if counted small, else salted on hot keys."""
+    if lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return big.join(F.broadcast(lookup), list(on), how)
+    return salted_join(big, lookup, on, how)
