@@ -22,21 +22,16 @@ STOP_WORDS = (
 ).split()
 
 
-def _word_list(words: Sequence[str]) -> Column:
-    return F.lit(list(words))
-
-
 def remove_stopwords(c: Column, words: Sequence[str] = STOP_WORDS) -> Column:
     """Text without its stop words; words are parted by blanks."""
-    listed = _word_list(words)
-    kept = F.filter(F.split(c, " "), lambda w: ~F.array_contains(listed, F.lower(w)))
+    kept = F.filter(F.split(c, " "), lambda w: ~F.lower(w).isin(list(words)))
     return F.array_join(kept, " ")
 
 
 def stopwords_found(c: Column, words: Sequence[str] = STOP_WORDS) -> Column:
     """The different stop words of a text, sorted."""
     lowered = F.transform(F.split(c, " "), lambda w: F.lower(w))
-    return F.array_sort(F.array_intersect(lowered, _word_list(words)))
+    return F.array_sort(F.array_intersect(lowered, F.lit(list(words))))
 
 
 def noise_share(c: Column) -> Column:

@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dunlin.operators.joins import salted_join
 from dunlin.operators.ordering import top_per_group
 from dunlin.session import materialize
 
@@ -72,15 +73,12 @@ def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(d, 0.0)
 
 
-def _nearest_in_block(ids, q, refs, r, k, same_out) -> pd.DataFrame:
+def _nearest_in_block(ids, q, refs, r, k) -> pd.DataFrame:
     """The k nearest rows of one block for every query, with exactly computed distances."""
     d = _squared(q, r)
-    if same_out:
-        d[ids[:, None] == refs[None, :]] = np.inf
     kth = np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, min(k, d.shape[1]) - 1]
     noise = 1e-14 * ((q * q).sum(1) + (r * r).sum(1).max())
-    reach = np.where(np.isfinite(kth), kth, np.finfo(float).max)
-    bound = reach + noise + 1e-8 * np.sqrt(reach) + 1e-15
+    bound = kth + noise + 1e-8 * np.sqrt(kth) + 1e-15
     found = []
     for start in range(0, len(q), 256):
         i, j = np.nonzero(d[start : start + 256] <= bound[start : start + 256, None])
@@ -108,18 +106,45 @@ def knn_join(
 
     ``metric`` is ``euclidean`` or ``cosine``. ``exclude_same`` leaves out the
     pair of a row with itself. Ids are integers, unique on each side.
+
+    Copies cost little: of equal reference vectors only the ``k`` lowest ids
+    can be among the nearest, and equal queries are searched once.
     """
-    spark = refs.sparkSession
     v = as_double(vector)
     qv, rv = (_unit(v, True), _unit(v, False)) if metric == "cosine" else (v, v)
     q_rows = queries.select(F.col(q_id).cast("long").alias("q"), qv.alias("v"))
     r_rows = refs.select(F.col(r_id).cast("long").alias("r"), rv.alias("v"))
+    q_rows = q_rows.withColumn("h", F.xxhash64("v"))
+    r_rows = r_rows.withColumn("h", F.xxhash64("v"))
+
+    kk = k + 1 if exclude_same else k
+    r_rows = materialize(top_per_group(r_rows, ["h", "v"], [F.col("r")], kk).select("r", "v"), "refs")
+    apart = q_rows.groupBy("h", "v").agg(F.min("q").alias("q"), F.count("*").alias("copies"))
+    apart = materialize(apart, "queries")
+    copies, distinct = apart.agg(F.sum("copies"), F.count("*")).first()
+    found = _search(apart.select("q", "v"), r_rows, kk, distinct, block_rows)
+    if copies != distinct:
+        hits = found.groupBy("q").agg(F.collect_list(F.struct("d", "r")).alias("hits"))
+        lists = apart.join(hits, "q").select("h", "v", "hits")  # at most kk hits per vector
+        found = salted_join(q_rows, lists, ["h", "v"]).select("q", F.inline("hits"))
+    if exclude_same:
+        found = found.where(F.col("q") != F.col("r"))
+    best = top_per_group(found, ["q"], [F.col("d"), F.col("r")], k)
+    d = F.col("d") * F.col("d") / 2 if metric == "cosine" else F.col("d")
+    other = r_id if r_id != q_id else f"neighbor_{r_id}"
+    return best.select(F.col("q").alias(q_id), F.col("r").alias(other), d.alias("distance"), "rank")
+
 
+def _search(
+    q_rows: DataFrame, r_rows: DataFrame, kk: int, n_queries: int, block_rows: int
+) -> DataFrame:
+    """Rows ``(q, r, d)`` with the ``kk`` nearest of ``r_rows`` for each of ``q_rows``."""
+    spark = r_rows.sparkSession
     n_refs = r_rows.count()
     want = max(1, min(MAX_PIVOTS, int(math.sqrt(n_refs) / 4)))
     sample = r_rows.orderBy(F.xxhash64("r"), "r").limit(want).collect()
     if not sample:
-        return _name_pairs(spark.createDataFrame([], "q long, r long, d double, rank int"), q_id, r_id, metric)
+        return spark.createDataFrame([], "q long, r long, d double")
     pivots = np.array([row["v"] for row in sample], dtype=float)
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -132,7 +157,6 @@ def knn_join(
     placed = materialize(
         r_rows.mapInPandas(place, "r long, v array<double>, cell int, away double"), "cells"
     )
-    kk = k + 1 if exclude_same else k
     # At most MAX_PIVOTS rows, and MAX_PIVOTS * k rows, reach the driver.
     cells = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("away").alias("radius")).collect()
     inner = top_per_group(placed.select("cell", "away", "r"), ["cell"], [F.col("away"), F.col("r")], kk)
@@ -181,7 +205,6 @@ def knn_join(
     if n_refs > block_rows:
         visits = {r["cell"]: r["n"] for r in routed.groupBy("cell").agg(F.count("*").alias("n")).collect()}
     else:  # every cell sees each query at most once
-        n_queries = q_rows.count()
         visits = dict.fromkeys(range(len(pivots)), n_queries)
     chunks = [max(1, math.ceil(visits.get(c, 0) / block_rows)) for c in range(len(pivots))]
 
@@ -202,8 +225,7 @@ def knn_join(
         if not len(left) or not len(right):
             return pd.DataFrame({"q": [], "r": [], "d": []})
         return _nearest_in_block(
-            left["q"].to_numpy(), _matrix(left["v"]), right["r"].to_numpy(), _matrix(right["v"]), k,
-            exclude_same,
+            left["q"].to_numpy(), _matrix(left["v"]), right["r"].to_numpy(), _matrix(right["v"]), kk
         )
 
     keys = ["cell", "block", "chunk"]
@@ -212,16 +234,7 @@ def knn_join(
         .cogroup(r_side.groupBy(*keys))
         .applyInPandas(search, "q long, r long, d double")
     )
-    if exclude_same:
-        found = found.where(F.col("q") != F.col("r"))
-    best = top_per_group(found, ["q"], [F.col("d"), F.col("r")], k)
-    return _name_pairs(best, q_id, r_id, metric)
-
-
-def _name_pairs(best: DataFrame, q_id: str, r_id: str, metric: str) -> DataFrame:
-    d = F.col("d") * F.col("d") / 2 if metric == "cosine" else F.col("d")
-    other = r_id if r_id != q_id else f"neighbor_{r_id}"
-    return best.select(F.col("q").alias(q_id), F.col("r").alias(other), d.alias("distance"), "rank")
+    return top_per_group(found, ["q"], [F.col("d"), F.col("r")], kk).drop("rank")
 
 
 def cluster_distances(

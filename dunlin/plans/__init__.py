@@ -1,4 +1,4 @@
 """Queries over the driver tables, one module per operator family."""
 
-from dunlin.plans import features, relational, scalars, scoring, tables  # noqa: F401
+from dunlin.plans import features, nearest, relational, scalars, scoring, tables  # noqa: F401
 from dunlin.plans.registry import QUERIES, SQL  # noqa: F401
