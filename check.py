@@ -24,11 +24,11 @@ def main():
     con = connect(sf_dir)
     failed = []
     for name in names or list(QUERIES):
-        began = time.time()
+        began, sql_time = time.time(), 0.0
         try:
             df = QUERIES[name](spark, sf_dir)
             if name in SQL:
-                note = compare(con, df, SQL[name])
+                note, sql_time = compare(con, df, SQL[name])
             else:
                 note = "" if df.count() else "no rows"
         except Exception as e:  # keep going, report at the end
@@ -36,7 +36,7 @@ def main():
         if note:
             failed.append(name)
         kind = "sql" if name in SQL else "rows"
-        print(f"{time.time() - began:6.2f}s {kind:4s} {name:24s} {note or 'ok'}", flush=True)
+        print(f"{time.time() - began - sql_time:6.2f}s {sql_time:5.1f} {kind:4s} {name:24s} {note or 'ok'}", flush=True)
     print("failed:", failed)
 
 
