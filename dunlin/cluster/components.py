@@ -1,4 +1,4 @@
-"""Connected components by minimum labels, with the lineage cut every round."""
+"""Connected components by contraction, with the lineage cut every round."""
 
 from __future__ import annotations
 
@@ -12,29 +12,25 @@ from dunlin.session import materialize
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Rows ``(node, component)``, the component being its smallest node.
 
-    ``edges`` has ``a, b``. A round takes the smallest label among neighbours
-    and then the label of that label, so paths shrink by halves.
+    ``edges`` has ``a, b``. In a round every node points to its smallest
+    neighbour, pointers are followed, and the edges are rewritten between the
+    nodes pointed to, so the graph shrinks by a factor each round.
     """
-    both = materialize(
-        edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
-        "edges",
-    )
-    labels = materialize(nodes.select("node", F.col("node").alias("component")), "labels")
-    while True:
-        around = (
-            both.join(labels.select(F.col("node").alias("b"), "component"), "b")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("component").alias("low"))
-        )
-        lower = labels.join(around, "node", "left").select(
-            "node",
-            F.col("component").alias("before"),
-            F.least("component", F.coalesce("low", "component")).alias("via"),
-        )
-        lower = materialize(lower, "labels")
-        jump = lower.select(F.col("node").alias("via"), F.col("via").alias("component"))
-        stepped = materialize(lookup_join(lower, jump, ["via"]), "labels")
-        changed = stepped.where(F.col("component") != F.col("before")).limit(1).count()
-        labels = stepped.select("node", "component")
-        if not changed:
-            return labels
+    low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    edges = materialize(edges.select(low, high).where("a <> b").distinct(), "edges")
+    steps = []
+    while edges.limit(1).count():
+        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        up = both.groupBy("a").agg(F.least("a", F.min("b")).alias("up"))
+        for _ in range(2):
+            jump = up.select(F.col("a").alias("up"), F.col("up").alias("next"))
+            up = up.join(jump, "up").select("a", F.col("next").alias("up"))
+        up = materialize(up, "up")
+        steps.append(up)
+        moved = lookup_join(edges, up, ["a"]).select(F.col("b").alias("a"), F.col("up").alias("x"))
+        moved = lookup_join(moved, up, ["a"]).select(F.col("x").alias("a"), F.col("up").alias("b"))
+        edges = materialize(moved.select(low, high).where("a <> b").distinct(), "edges")
+    found = nodes.select("node", F.col("node").alias("a"))
+    for up in steps:
+        found = lookup_join(found, up, ["a"], "left").select("node", F.coalesce("up", "a").alias("a"))
+    return materialize(found.withColumnRenamed("a", "component"), "components")

@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from dunlin.cluster.kmeans import Fit, label_rows, run_fits, seed_rows, start_centers
+from dunlin.cluster.kmeans import Fit, label_rows, new_fit, run_fits, seed_rows
 from dunlin.features.scaling import minmax_scale
 from dunlin.operators.neighbors import vector_of
 from dunlin.operators.ordering import ranked
-from dunlin.session import materialize
+from dunlin.session import materialize, widen
 
 CLUSTER = "clusterId"
 MAX_CLUSTERS = 200
@@ -66,23 +66,19 @@ def gmeans(
 ) -> tuple[np.ndarray, DataFrame]:
     """``(centers, rows (row, clusterId))`` on min-max scaled features."""
     scaled = minmax_scale(df, features)
-    rows = materialize(
-        scaled.select(
-            F.col(row_id).cast("long").alias("row"), F.lit(0).alias("grp"), vector_of(*features).alias("v")
-        ),
-        "rows",
+    rows = scaled.select(
+        F.col(row_id).cast("long").alias("row"), F.lit(0).alias("grp"), vector_of(*features).alias("v")
     )
-    first = start_centers(seed_rows(rows, seed)[0], min(2, max_clusters), "k-means++", seed)
-    fit = run_fits(rows, [Fit(0, first, max_iter=max_iter)])[0]
+    rows = materialize(widen(rows), "rows")
+    first = new_fit(0, seed_rows(rows, seed)[0], min(2, max_clusters), seed=seed, max_iter=max_iter)
+    fit = run_fits(rows, [first])[0]
     while len(fit.centers) < max_clusters:
         placed = materialize(
             label_rows(rows, [{0: fit}]).select("row", F.col("labels")[0].alias("grp"), "v"), "split"
         )
         samples = seed_rows(placed, seed)
         big = [c for c in samples if fit.sizes[c] > 2 and len(np.unique(samples[c], axis=0)) > 1]
-        halves = run_fits(
-            placed, [Fit(c, start_centers(samples[c], 2, "k-means++", seed), max_iter=max_iter) for c in big]
-        )
+        halves = run_fits(placed, [new_fit(c, samples[c], 2, seed=seed, max_iter=max_iter) for c in big])
         halves = {h.grp: h for h in halves if (h.centers[0] != h.centers[1]).any()}
         split = _rejected(placed, halves)
         centers, room = [], max_clusters - len(fit.centers)
@@ -94,7 +90,7 @@ def gmeans(
                 centers.append(fit.centers[c])
         if len(centers) == len(fit.centers):
             break
-        fit = run_fits(rows, [Fit(0, np.array(centers), max_iter=max_iter)])[0]
+        fit = run_fits(rows, [Fit(0, np.array(centers), max_iter=max_iter, scale=first.scale)])[0]
     labelled = label_rows(rows, [{0: fit}]).select("row", F.col("labels")[0].alias(CLUSTER))
     return fit.centers, labelled
 

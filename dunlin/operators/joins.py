@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from dunlin.operators.ordering import ranked
 
+SMALL_ROWS = 250_000  # no key of so small a table can hold back a join
 HOT_SHARE = 1 / 128  # a key with more than this share of all rows is hot: at most 128 keys
 
 
@@ -37,8 +38,11 @@ def salted_join(
     """Join in which a hot key of ``big`` is spread over ``salts`` tasks.
 
     Rows of ``other`` are repeated for hot keys only. ``how`` is inner or left.
+    A ``big`` side that fits a single task is joined as it is.
     """
     on = list(on)
+    if big.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
+        return big.join(other, on, how)
     hot = F.broadcast(hot_keys(big, on).withColumn("__hot", F.lit(True)))  # at most 128 rows
     spread = F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")
     left = (

@@ -255,14 +255,16 @@ def cluster_distances(
     part = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     left = rows.withColumn("a", part).withColumn("b", every)
-    right = rows.withColumn("b", part).withColumn("a", every)
+    right = rows.select(
+        F.col("row").alias("row2"), F.col("v").alias("v2"), F.col("c").alias("c2"), part.alias("b")
+    ).withColumn("a", every)
 
     def sums(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(x) and len(y):
-            d = np.sqrt(_squared(_matrix(x["v"]), _matrix(y["v"])))
-            d[x["row"].to_numpy()[:, None] == y["row"].to_numpy()[None, :]] = 0.0
-            own, other = _matrix(x["c"]).astype("int32"), _matrix(y["c"]).astype("int32")
+            d = np.sqrt(_squared(_matrix(x["v"]), _matrix(y["v2"])))
+            d[x["row"].to_numpy()[:, None] == y["row2"].to_numpy()[None, :]] = 0.0
+            own, other = _matrix(x["c"]).astype("int32"), _matrix(y["c2"]).astype("int32")
             for labeling in range(other.shape[1]):
                 for cluster in np.unique(other[:, labeling]):
                     inside = other[:, labeling] == cluster

@@ -84,10 +84,11 @@ def _hot_top(hot: DataFrame, k: int) -> DataFrame:
     part = F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     left = hot.withColumn("a", part).withColumn("b", every)
-    right = hot.withColumn("b", part).withColumn("a", every)
+    names = {"item": "item2", "dims": "dims2", "ws": "ws2"}
+    right = hot.select(*[F.col(c).alias(n) for c, n in names.items()], part.alias("b")).withColumn("a", every)
 
     def best(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        return _block_scores(x, y, k)
+        return _block_scores(x, y.rename(columns={n: c for c, n in names.items()}), k)
 
     return (
         left.groupBy("a", "b")

@@ -43,3 +43,9 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def widen(df: DataFrame) -> DataFrame:
+    """Spread a scan of too few partitions over all cores; wide input is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
