@@ -213,7 +213,9 @@ def test_clusterings_find_blobs(spark):
 
 
 def test_grid_and_auto_choice(spark):
-    df, names = blobs(spark, 60)
+    rng = np.random.default_rng(6)  # rows mixed, since folds are contiguous
+    x = np.concatenate([rng.normal(c, 0.3, size=(60, 2)) for c in ((0, 0), (6, 0), (0, 6))])
+    df, names = columns(spark, rng.permutation(x))
     rows = grid.prepare(df, "id", names)
     kgrid = {"n_clusters": [2, 3], "n_init": [3], "max_iter": [20], "init": ["k-means++"], "tol": [1e-3]}
     table, best, labels = grid.grid_kmeans(rows, names, kgrid)
