@@ -17,6 +17,7 @@ from pyspark.sql.types import DoubleType
 
 from dunlin.cluster.kmeans import Fit, label_rows, new_fit, run_fits, seed_rows
 from dunlin.features.scaling import minmax_scale
+from dunlin.operators.joins import lookup_join
 from dunlin.operators.neighbors import vector_of
 from dunlin.operators.ordering import ranked
 from dunlin.session import materialize, widen
@@ -43,7 +44,7 @@ def anderson_darling(df: DataFrame, group: str, value: str, row_id: str) -> Data
         F.avg(value).alias("__m"), F.stddev_samp(value).alias("__s"), F.count("*").alias("__n")
     )
     placed = ranked(df.select(group, value, row_id), [value, row_id], [group], name="__i")
-    joined = placed.join(stats, group).where((F.col("__n") > 1) & (F.col("__s") > 0))
+    joined = lookup_join(placed, stats, [group]).where((F.col("__n") > 1) & (F.col("__s") > 0))
     w = (F.col(value) - F.col("__m")) / F.col("__s")
     i, n = F.col("__i") + 1, F.col("__n")
     term = (2 * i - 1) * _log_lower_tail(w) + (2 * (n - i) + 1) * _log_lower_tail(-w)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dunlin.operators.joins import lookup_join
+from dunlin.session import materialize
 
 TOKEN = r"[\p{L}\p{N}_]{2,}"  # runs of two or more word characters
 
@@ -73,7 +74,7 @@ def apply_idf(bags: DataFrame, idf: DataFrame, row_id: str) -> DataFrame:
 
 
 def tfidf(df: DataFrame, row_id: str, text: str, words: Sequence[str] = STOP_WORDS) -> DataFrame:
-    bags = bag_of_words(df, row_id, text, words)
+    bags = materialize(bag_of_words(df, row_id, text, words), "bags")
     return apply_idf(bags, fit_idf(bags, df.count()), row_id)
 
 

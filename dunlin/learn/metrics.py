@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dunlin.session import materialize
+
 DIGITS = 2
 
 
@@ -47,19 +49,20 @@ def class_counts(df: DataFrame, truth: str, predicted: str) -> DataFrame:
         F.count("*").alias("n")
     )
     hit = F.when(F.col("t") == F.col("p"), F.col("n")).otherwise(0)
-    true = matrix.groupBy(F.col("t").alias("label")).agg(
-        F.sum("n").alias("support"), F.sum(hit).alias("tp")
+    none = F.lit(0).cast("long")
+    sides = F.array(
+        F.struct(F.col("t").alias("label"), F.col("n").alias("support"), hit.alias("tp"), none.alias("given")),
+        F.struct(F.col("p").alias("label"), none.alias("support"), none.alias("tp"), F.col("n").alias("given")),
+    )
+    rows = matrix.select(F.inline(sides)).groupBy("label").agg(
+        F.sum("support").alias("support"), F.sum("tp").alias("tp"), F.sum("given").alias("given")
     )
-    given = matrix.groupBy(F.col("p").alias("label")).agg(F.sum("n").alias("given"))
-    total = F.sum("support").over(Window.partitionBy(F.lit(0)))
-    rows = true.where(F.col("label").isNotNull()).join(given, "label", "left").fillna(0, ["given"])
+    total = F.sum("support").over(Window.partitionBy(F.lit(0)))  # one row per class
     fp, fn = F.col("given") - F.col("tp"), F.col("support") - F.col("tp")
-    return rows.withColumn("total", total).select(
-        "label",
-        (F.col("total") - F.col("support") - fp).alias("tn"),
-        fp.alias("fp"),
-        fn.alias("fn"),
-        "tp",
+    return (
+        rows.withColumn("total", total)
+        .where(F.col("label").isNotNull() & (F.col("support") > 0))
+        .select("label", (F.col("total") - F.col("support") - fp).alias("tn"), fp.alias("fp"), fn.alias("fn"), "tp")
     )
 
 
@@ -80,7 +83,7 @@ def _class_scores(df: DataFrame, truth: str, predicted: str) -> DataFrame:
 
 def multiclass_report(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     """Per-class scores and counts, then ``accuracy``, ``macro avg`` and ``weighted avg`` rows."""
-    scores = _class_scores(df, truth, predicted)
+    scores = materialize(_class_scores(df, truth, predicted), "scores")  # read by four branches
     names = ["precision", "recall", "f1"]
     support = F.sum("support")
     none = F.lit(None).cast("long")

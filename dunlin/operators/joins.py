@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dunlin.operators.ordering import ranked
+from dunlin.session import materialize
 
 SMALL_ROWS = 250_000  # no key of so small a table can hold back a join
 HOT_SHARE = 1 / 128  # a key with more than this share of all rows is hot: at most 128 keys
@@ -100,7 +101,11 @@ BROADCAST_ROWS = 100_000
 
 
 def lookup_join(big: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join to a table with unique keys: broadcast if counted small, else salted on hot keys."""
-    if lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    """Join to a table with unique keys: broadcast if counted small, else salted on hot keys.
+
+    The lookup table is written first, so that counting it does not compute it twice.
+    """
+    lookup = materialize(lookup, "lookup")
+    if lookup.count() <= BROADCAST_ROWS:
         return big.join(F.broadcast(lookup), list(on), how)
     return salted_join(big, lookup, on, how)

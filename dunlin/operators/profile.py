@@ -63,15 +63,14 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:
     """Rows ``(col_a, col_b, corr)`` for each pair, from one aggregate over the table."""
-    pairs = [
-        F.struct(
-            F.lit(a).alias("col_a"),
-            F.lit(b).alias("col_b"),
-            F.round(F.corr(a, b), digits).alias("corr"),
-        )
-        for a, b in itertools.product(columns, repeat=2)
-    ]
-    return df.agg(F.array(*pairs).alias("p")).select(F.inline("p"))
+    def entry(a: str, b: str, value: Column) -> Column:
+        return F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), value.alias("corr"))
+
+    entries = [entry(c, c, F.when(F.stddev_pop(c) > 0, 1.0)) for c in columns]
+    for a, b in itertools.combinations(columns, 2):
+        value = F.round(F.corr(a, b), digits)
+        entries += [entry(a, b, value), entry(b, a, value)]
+    return df.agg(F.array(*entries).alias("p")).select(F.inline("p"))
 
 
 def histogram(df: DataFrame, column: str, bins: int = 80) -> DataFrame:

@@ -1,12 +1,15 @@
 """Top-k neighbours of sparse rows by dot product, for ratings and token sets.
 
-Rows are kept in long form ``(item, dim, weight)`` with weights >= 0. A
-dimension with at most ``HOT_ROWS`` items is joined with itself, which yields
-at most ``HOT_ROWS`` pairs per input row. A dimension with more is never
-expanded into pairs: the part of an item's score from such dimensions is found
-by dense products of item blocks inside a task, and only the best ``k`` of a
-block leave it. An item with a top score either shares a small dimension, and
-is then scored in full, or owes its score to the hot ones alone.
+Rows are kept in long form ``(item, dim, weight)`` with weights >= 0.
+
+Where it costs less, items are cut into blocks and a task scores one pair of
+blocks, so that only the best ``k`` per item leave it. With very many items
+the blocks would be copied too often; then a dimension with at most
+``HOT_ROWS`` items is joined with itself, which yields at most ``HOT_ROWS``
+pairs per input row, and only the dimensions with more go through the blocks.
+They are never expanded into pairs of rows. An item with a top score either
+shares a small dimension, and is then scored in full, or owes its score to the
+hot ones alone.
 """
 
 from __future__ import annotations
@@ -20,11 +23,12 @@ from pyspark.sql import functions as F
 
 from dunlin.operators.joins import lookup_join
 from dunlin.operators.ordering import ranked, top_per_group
-from dunlin.session import materialize
+from dunlin.session import materialize, shuffle_width
 
 HOT_ROWS = 128
-BLOCK_ITEMS = 1024
-SLICE = 1024
+BLOCK_ITEMS = 2048
+LIST_ROWS = 1_000_000  # entries one item may bring into a task
+SLICE = 4_000_000  # products formed at a time
 DIGITS = 9
 
 
@@ -35,35 +39,47 @@ def unit_rows(df: DataFrame, item: str, weight: str) -> DataFrame:
     return joined.withColumn(weight, F.col(weight) / F.col("__len")).drop("__len")
 
 
-def _dense(rows: pd.DataFrame, dims: np.ndarray, start: int, stop: int) -> np.ndarray:
-    """Rows as a dense matrix over the dimensions ``dims[start:stop]``."""
-    out = np.zeros((len(rows), stop - start))
+def _flat(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row number, dimension and weight of all entries, by dimension."""
     row = np.repeat(np.arange(len(rows)), rows["dims"].map(len))
     dim, weight = np.concatenate(rows["dims"].to_numpy()), np.concatenate(rows["ws"].to_numpy())
-    at = np.searchsorted(dims[start:stop], dim)
-    at[at == stop - start] = 0
-    inside = dims[start:stop][at] == dim
-    out[row[inside], at[inside]] = weight[inside]
-    return out
+    order = np.argsort(dim, kind="stable")
+    return row[order], dim[order], weight[order].astype(float)
+
+
+def _products(x: pd.DataFrame, y: pd.DataFrame) -> np.ndarray:
+    """Dot products of all rows of two blocks, by shared dimension."""
+    (ra, da, wa), (rb, db, wb) = _flat(x), _flat(y)
+    ua, sa, ca = np.unique(da, return_index=True, return_counts=True)
+    ub, sb, cb = np.unique(db, return_index=True, return_counts=True)
+    _, ia, ib = np.intersect1d(ua, ub, assume_unique=True, return_indices=True)
+    sa, ca, sb, cb = sa[ia], ca[ia], sb[ib], cb[ib]
+    total = np.zeros(len(x) * len(y))
+    work = ca * cb
+    full = work > total.size / 8
+    for d in np.nonzero(full)[0]:  # a dimension most rows have: add its outer product
+        left, right = np.zeros(len(x)), np.zeros(len(y))
+        left[ra[sa[d] : sa[d] + ca[d]]] = wa[sa[d] : sa[d] + ca[d]]
+        right[rb[sb[d] : sb[d] + cb[d]]] = wb[sb[d] : sb[d] + cb[d]]
+        total += np.outer(left, right).ravel()
+    sa, ca, sb, cb, work = sa[~full], ca[~full], sb[~full], cb[~full], work[~full]
+    for part in np.split(np.arange(len(work)), np.nonzero(np.diff(work.cumsum() // SLICE))[0] + 1):
+        if len(part):
+            which = np.repeat(part, work[part])
+            at = np.arange(len(which)) - np.repeat(work[part].cumsum() - work[part], work[part])
+            i, j = sa[which] + at // cb[which], sb[which] + at % cb[which]
+            total += np.bincount(ra[i] * len(y) + rb[j], weights=wa[i] * wb[j], minlength=total.size)
+    return total.reshape(len(x), len(y))
 
 
 def _block_scores(x: pd.DataFrame, y: pd.DataFrame, k: int) -> pd.DataFrame:
     """Best ``k`` of block ``y`` for every row of block ``x``."""
-    none = pd.DataFrame({"item": [], "other": [], "score": []})
     if not len(x) or not len(y):
-        return none
-    dims = np.intersect1d(np.concatenate(x["dims"].to_numpy()), np.concatenate(y["dims"].to_numpy()))
-    if not len(dims):
-        return none
-    total = np.zeros((len(x), len(y)))
-    for start in range(0, len(dims), SLICE):
-        stop = min(start + SLICE, len(dims))
-        total += _dense(x, dims, start, stop) @ _dense(y, dims, start, stop).T
-    total = np.round(total, DIGITS)
+        return pd.DataFrame({"item": [], "other": [], "score": []})
+    y = y.sort_values("item")
+    total = np.round(_products(x, y), DIGITS)
     a, b = x["item"].to_numpy(), y["item"].to_numpy()
     total[a[:, None] == b[None, :]] = 0.0
-    order = np.argsort(b, kind="stable")
-    b, total = b[order], total[:, order]
     if total.max() < 1e6:  # score and column as one whole number: no ties
         whole = np.rint(total * 10**DIGITS).astype("int64") * len(b) + np.arange(len(b))[::-1]
         best = np.argpartition(-whole, min(k, len(b)) - 1, axis=1)[:, :k]
@@ -79,8 +95,23 @@ def _block_scores(x: pd.DataFrame, y: pd.DataFrame, k: int) -> pd.DataFrame:
     return out[out["score"] > 0]
 
 
-def _hot_top(hot: DataFrame, k: int) -> DataFrame:
-    blocks = max(1, math.ceil(hot.count() / BLOCK_ITEMS))
+def _as_lists(coded: DataFrame) -> DataFrame:
+    """One row per item: ``(item, dims, ws)``."""
+    grouped = coded.groupBy("item").agg(F.sort_array(F.collect_list(F.struct("code", "w"))).alias("e"))
+    lists = grouped.select(
+        "item",
+        F.transform("e", lambda x: x["code"]).alias("dims"),
+        F.transform("e", lambda x: x["w"]).alias("ws"),
+    )
+    return materialize(lists, "lists")
+
+
+def spread(df: DataFrame, blocks: int) -> DataFrame:
+    """Partition by block pair; the count is set, so small but costly pairs are not merged."""
+    return df.repartition(min(blocks * blocks, 4 * shuffle_width(df.sparkSession)), "a", "b")
+
+
+def _block_top(hot: DataFrame, k: int, blocks: int) -> DataFrame:
     part = F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     left = hot.withColumn("a", part).withColumn("b", every)
@@ -91,8 +122,8 @@ def _hot_top(hot: DataFrame, k: int) -> DataFrame:
         return _block_scores(x, y.rename(columns={n: c for c, n in names.items()}), k)
 
     return (
-        left.groupBy("a", "b")
-        .cogroup(right.groupBy("a", "b"))
+        spread(left, blocks).groupBy("a", "b")
+        .cogroup(spread(right, blocks).groupBy("a", "b"))
         .applyInPandas(best, "item long, other long, score double")
     )
 
@@ -109,7 +140,18 @@ def sparse_topk(
         df.select(F.col(item).cast("long").alias("item"), F.col(dim).alias("dim"), F.col(weight).alias("w")),
         "sparse",
     )
-    sizes = rows.groupBy("dim").agg(F.count("*").alias("n"))
+    sizes = materialize(rows.groupBy("dim").agg(F.count("*").alias("n")), "sizes")
+    n_rows, pairs = sizes.agg(F.sum("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
+    if not n_rows:
+        return rows.select("item", F.col("item").alias("other"), F.lit(0.0).alias("score"), F.lit(1).alias("rank"))
+    per_item = rows.groupBy("item").agg(F.count("*").alias("n"))
+    items, longest = per_item.agg(F.count("*"), F.max("n")).first()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    blocks = max(math.ceil(items / BLOCK_ITEMS), min(math.isqrt(cores), math.ceil(items / 128)))
+    if n_rows * blocks <= pairs and longest <= LIST_ROWS:
+        coded = lookup_join(rows, ranked(sizes.select("dim"), ["dim"], name="code"), ["dim"])
+        best = _block_top(_as_lists(coded), k, blocks)
+        return top_per_group(best, ["item"], [F.desc("score"), F.col("other")], k)
     hot_dims = materialize(sizes.where(F.col("n") > hot_rows).select("dim"), "hot")
     any_hot = bool(hot_dims.limit(1).count())
     if any_hot:
@@ -125,18 +167,7 @@ def sparse_topk(
         .agg(F.sum(F.col("a.w") * F.col("b.w")).alias("score"))
     )
     if any_hot:
-        entry = F.struct("code", "w")
-        hot = materialize(
-            coded.where(F.col("code").isNotNull())
-            .groupBy("item")
-            .agg(F.sort_array(F.collect_list(entry)).alias("e"))
-            .select(
-                "item",
-                F.transform("e", lambda x: x["code"]).alias("dims"),
-                F.transform("e", lambda x: x["w"]).alias("ws"),
-            ),
-            "hotrows",
-        )
+        hot = _as_lists(coded.where(F.col("code").isNotNull()))
         mine = hot.select("item", F.arrays_zip("dims", "ws").alias("mine"))
         theirs = hot.select(
             F.col("item").alias("other"), F.map_from_arrays("dims", "ws").alias("theirs")
@@ -162,7 +193,7 @@ def sparse_topk(
     if any_hot:
         # The full score of a pair is never below its hot part alone.
         scored = (
-            scored.union(_hot_top(hot, k)).groupBy("item", "other").agg(F.max("score").alias("score"))
+            scored.union(_block_top(hot, k, blocks)).groupBy("item", "other").agg(F.max("score").alias("score"))
         )
     scored = scored.where(F.col("score") > 0)
     return top_per_group(scored, ["item"], [F.desc("score"), F.col("other")], k)
