@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from dunlin.cluster.assign import CenterModel
 from dunlin.cluster.kmeans import Fit, label_rows, new_fit, run_fits, seed_rows
-from dunlin.features.scaling import minmax_scale
+from dunlin.features.scaling import apply_scale, fit_minmax
 from dunlin.operators.joins import lookup_join
 from dunlin.operators.neighbors import vector_of
 from dunlin.operators.ordering import ranked
@@ -64,9 +65,10 @@ def gmeans(
     max_clusters: int = MAX_CLUSTERS,
     max_iter: int = 100,
     seed: int = 42,
-) -> tuple[np.ndarray, DataFrame]:
-    """``(centers, rows (row, clusterId))`` on min-max scaled features."""
-    scaled = minmax_scale(df, features)
+) -> tuple[CenterModel, DataFrame]:
+    """``(model, rows (row, clusterId))`` on min-max scaled features."""
+    scale = fit_minmax(df, features)
+    scaled = apply_scale(df, scale)
     rows = scaled.select(
         F.col(row_id).cast("long").alias("row"), F.lit(0).alias("grp"), vector_of(*features).alias("v")
     )
@@ -93,7 +95,7 @@ def gmeans(
             break
         fit = run_fits(rows, [Fit(0, np.array(centers), max_iter=max_iter, scale=first.scale)])[0]
     labelled = label_rows(rows, [{0: fit}]).select("row", F.col("labels")[0].alias(CLUSTER))
-    return fit.centers, labelled
+    return CenterModel(features, scale, fit.centers), labelled
 
 
 def _rejected(placed: DataFrame, halves: dict[int, Fit]) -> set[int]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -20,6 +22,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     own = tempfile.mkdtemp(prefix="dunlin-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(own)
     return own
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from dunlin.cluster import birch, grid, kmeans, scores, spectral
+from dunlin.cluster import assign, birch, grid, kmeans, scores, spectral
 from dunlin.cluster import dbscan as density
 from dunlin.cluster.components import connected_components
 from dunlin.cluster.gmeans import anderson_darling, gmeans
@@ -199,15 +199,21 @@ def same_partition(rows, per=80):
 
 def test_clusterings_find_blobs(spark):
     df, names = blobs(spark)
-    _, rows = kmeans.kmeans(df, names, 3)
+    model, rows = kmeans.kmeans(df, names, 3)
+    assert kmeans.kmeans_infer(model, df.limit(5)).select("id", "clusterId").subtract(
+        rows.select("id", "clusterId")).count() == 0
     assert same_partition([(r.id, r.clusterId) for r in rows.collect()])
-    _, rows = gmeans(df, "id", names)
+    model, rows = gmeans(df, "id", names)
     assert same_partition([(r.row, r.clusterId) for r in rows.collect()])
+    assert sorted(map(tuple, model.infer(df, "id").collect())) == sorted(map(tuple, rows.collect()))
     scaled = kmeans.standard_scale(df, names)
     rows, parts = birch.birch(scaled, "id", names, 3, threshold=0.2)
     assert same_partition([(r.id, r.clusterId) for r in rows.collect()])
     assert parts.agg(F.sum("n")).first()[0] == 240
     assert parts.agg(F.max("radius")).first()[0] <= 0.2 + 1e-9
+    new = scaled.select("id", F.array(*names).alias("center"))
+    near = assign.nearest_label(new, parts, "id", "row", "center")
+    assert same_partition([(r.id, r.clusterId) for r in near.collect()])
     rows = spectral.spectral(scaled, "id", names, 3)
     assert same_partition([(r.row, r.clusterId) for r in rows.collect()])
 
