@@ -294,7 +294,7 @@ def _lists(spark, sf_dir):
 
 _LISTS = (
     "WITH l AS (SELECT l_orderkey, list(CAST(l_quantity AS INTEGER) ORDER BY l_linenumber, l_partkey, "
-    "l_suppkey) AS a FROM lineitem GROUP BY 1) "
+    "l_suppkey, l_quantity) AS a FROM lineitem GROUP BY 1) "
 )
 
 
