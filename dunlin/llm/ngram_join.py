@@ -10,9 +10,8 @@ formed whole:
   overlap in ``ceil(t * max(n, m))`` columns at least, so they share one of the
   first ``n - ceil(t * n) + 1`` columns of either row. Only that block of columns
   is multiplied. Columns with one row cannot add to a product and go first.
-* The product over this block is summed per pair. Pairs outside the size bound
-  (``100 * min < t * max``) are discarded; the rest get their whole overlap from
-  the full rows.
+* Pairs outside the size bound (``100 * min < t * max``) are discarded; the rest get
+  their whole overlap from the full rows, which are sent for such rows only.
 * A column of many rows is not multiplied out. Its rows meet one pivot row first;
   rows that link join its component; only rows of different components are then
   paired, in blocks of rows. Links inside a component that is already known change
@@ -36,7 +35,8 @@ from dunlin.session import materialize
 
 ZONE = 0.3  # share of the hash range in which frequencies are counted
 ROUNDS = 2  # pivot rounds before rows of different components are paired
-BLOCK = 1024  # rows of a column that meet in one task
+SHORT = 64  # columns of more rows are multiplied in blocks
+BLOCK = 256  # rows of such a block
 SEEN = 1 << 20  # sets that a task remembers, so as to send copies once
 FILTER_BITS = 28  # the broadcast filter has at most 2 ** 28 bits, 32 MB
 
@@ -138,9 +138,11 @@ def _shared(entries: DataFrame) -> DataFrame:
 
 
 def _prefixes(shared: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Entries of each row's prefix, ``column, key, n, weight``.
+    """Entries of each row's prefix, ``column, key, n, weight, inner``.
 
-    ``weight`` is high for a row whose shingles are in many rows.
+    ``weight`` is high for a row whose shingles are in many rows. ``inner`` marks the
+    shorter prefix that suffices for the smaller row of a pair: it overlaps the larger
+    one in ``2 t / (1 + t)`` of its shingles at least.
     """
     in_zone = F.col("column") < F.lit(_ZONE_END - 2**63)
     row = Window.partitionBy("key")
@@ -150,8 +152,9 @@ def _prefixes(shared: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     place = F.row_number().over(row.orderBy(F.col("df").asc_nulls_last(), "column"))
     ranked = known.withColumns({"inside": inside, "weight": weight, "place": place}).join(sizes, "key")
     room = F.expr(f"n + floor(-{percent} * n / 100) + 1 - (zone - inside)")
-    kept = ranked.where(F.col("place") <= room)
-    return kept.select("column", "key", "n", (F.col("weight") / F.col("n")).alias("weight"))
+    inner = F.expr(f"n + floor(-2 * {percent} * n / (100 + {percent})) + 1 - (zone - inside)")
+    kept = ranked.where(F.col("place") <= room).withColumn("inner", F.col("place") <= inner)
+    return kept.select("column", "key", "n", (F.col("weight") / F.col("n")).alias("weight"), "inner")
 
 
 def _row_filter(keys: DataFrame) -> np.ndarray:
@@ -251,39 +254,71 @@ def _similar_size(n, m, percent: int):
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
-def _block_pairs(mixed: DataFrame, percent: int) -> DataFrame:
-    """Pairs of rows of different components that may still link.
+def _sided(mixed: DataFrame) -> DataFrame:
+    """``mixed`` with ``minor``: whether a row is outside the column's largest component.
 
-    A column of ``r`` rows is cut into ``ceil(r / BLOCK)`` blocks: each row sits in
-    one block on the left and is repeated to all of them on the right.
-
-    All columns that a pair shares in both prefixes are here, so their number ``c`` is
-    complete, and the overlap is at most ``c`` plus what lies behind a prefix. A pair
-    for which that stays below ``t / (1 + t) * (n + m)`` is discarded.
+    Of two rows of different components one at least is minor.
     """
-    blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
     held = mixed.groupBy("column", "comp").agg(F.count("*").alias("m"))
     most = held.groupBy("column").agg(F.max(F.struct("m", "comp")).getField("comp").alias("main"))
-    placed = mixed.join(most, "column").withColumn("minor", F.col("comp") != F.col("main"))
-    # Of two rows of different components one at least is outside the main one.
-    left = placed.where("minor").select(
-        "column",
-        F.pmod(F.xxhash64("key"), blocks).cast("int").alias("block"),
-        F.col("key").alias("a"), F.col("n").alias("an"), F.col("comp").alias("ac"),
-    )
-    right = placed.select(
-        "column",
-        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"),
-        F.col("key").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bc"), "minor",
-    )
-    once = ~F.col("minor") | (F.col("a") < F.col("b"))
-    met = left.join(right, ["column", "block"]).where(once & (F.col("ac") != F.col("bc")))
-    met = met.where(_similar_size(F.col("an"), F.col("bn"), percent))
-    low, high = F.least("a", "b"), F.greatest("a", "b")
-    ends = [low.alias("a"), high.alias("b"), F.least("an", "bn").alias("an"), F.greatest("an", "bn").alias("bn")]
-    counted = met.groupBy(*ends).agg(F.count("*").alias("c"))
-    behind = F.expr(f"-floor(-{percent} * greatest(an, bn) / 100) - 1")
-    return counted.where((100 + percent) * (F.col("c") + behind) >= percent * (F.col("an") + F.col("bn")))
+    return mixed.join(most, "column").withColumn("minor", F.col("comp") != F.col("main"))
+
+
+def _short_column_pairs(mixed: DataFrame, percent: int) -> DataFrame:
+    """Pairs of rows of different components in columns of at most ``SHORT`` rows."""
+    few = _sided(mixed.where(F.col("rows") <= SHORT))
+    names = ("key", "n", "comp", "minor")
+    left = few.where("inner").select("column", *[F.col(c).alias(f"a_{c}") for c in names])
+    right = few.select("column", *[F.col(c).alias(f"b_{c}") for c in names])
+    met = left.join(right, "column").where("a_comp <> b_comp and a_n <= b_n and (a_minor or b_minor)")
+    met = met.where(_similar_size(F.col("a_n"), F.col("b_n"), percent))
+    return met.select(F.least("a_key", "b_key").alias("a"), F.greatest("a_key", "b_key").alias("b")).distinct()
+
+
+def _long_column_links(mixed: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between components in columns of more than ``SHORT`` rows.
+
+    The rows of a column are cut into blocks; a task gets two blocks with their whole
+    rows and multiplies them, so pairs never leave it unless they link.
+    """
+
+    def product(pdf: pd.DataFrame) -> pd.DataFrame:
+        sides = [pdf[pdf["side"] == i] for i in (0, 1)]
+        cells = [[np.frombuffer(c, np.uint64) for c in side["cells"]] for side in sides]
+        if not cells[0] or not cells[1]:
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        both = np.intersect1d(*(np.concatenate(c) for c in cells))
+        overlap = np.zeros((len(cells[0]), len(cells[1])), np.float32)
+        for at in range(0, len(both), 4096):
+            part = both[at : at + 4096]
+            dense = []
+            for own in cells:
+                m = np.zeros((len(own), len(part)), np.float32)
+                for i, c in enumerate(own):
+                    c = c[np.searchsorted(c, part[0]) : np.searchsorted(c, part[-1], "right")]
+                    spot = np.searchsorted(part, c)
+                    m[i, spot[part[spot] == c]] = 1
+                dense.append(m)
+            overlap += dense[0] @ dense[1].T
+        n = [np.array([len(c) for c in own]) for own in cells]
+        union = n[0][:, None] + n[1][None, :] - overlap
+        apart = sides[0]["comp"].to_numpy()[:, None] != sides[1]["comp"].to_numpy()[None, :]
+        i, j = np.nonzero((100 * overlap >= percent * union) & apart)
+        return pd.DataFrame({"a": sides[0]["key"].to_numpy()[i], "b": sides[1]["key"].to_numpy()[j]})
+
+    many = _sided(mixed.where(F.col("rows") > SHORT)).withColumn("case", F.when(F.col("minor"), 0).otherwise(1))
+    # Inner minor rows meet all rows; inner rows of the main component meet the minor ones.
+    left = many.where("inner").select("*", F.lit(0).alias("side"))
+    right = many.select("*", F.lit(1).alias("side"))
+    right = right.withColumn("case", F.explode(F.when(F.col("minor"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("key"), blocks).cast("int")
+    every = F.explode(F.sequence(F.lit(0), blocks - 1))
+    left = left.withColumn("lb", own).withColumn("rb", every)
+    right = right.withColumn("rb", own).withColumn("lb", every)
+    task = ["column", "case", "lb", "rb"]
+    sent = left.unionByName(right).select(*task, "side", "key", "comp").join(rows, "key")
+    return sent.groupBy(*task).applyInPandas(product, "a long, b long").distinct()
 
 
 def ngram_jaccard_components(
@@ -317,8 +352,12 @@ def ngram_jaccard_components(
             mixed = materialize(_mixed_columns(prefix, components), "ngram-mixed")
             if not mixed.limit(1).count():
                 break
-            pairs = _pivot_pairs(mixed, turn, percent) if turn < ROUNDS else _block_pairs(mixed, percent)
-            new = materialize(_linked(pairs, rows, percent), "ngram-links")
+            if turn < ROUNDS:
+                new = _linked(_pivot_pairs(mixed, turn, percent), rows, percent)
+            else:
+                new = _linked(_short_column_pairs(mixed, percent), rows, percent)
+                new = new.unionByName(_long_column_links(mixed, rows, percent))
+            new = materialize(new, "ngram-links")
             if not new.limit(1).count():
                 continue
             links = new if links is None else links.unionByName(new)
