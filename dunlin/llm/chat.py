@@ -47,7 +47,7 @@ def escape(text):
     No control string is left in the result, and ``unescape`` undoes it for any text.
     Works on a column.
     """
-    return F.regexp_replace(text, r"<(\\*)\|", r"<$1\\\\|")
+    return F.regexp_replace(text, r"<(\\*)\|", r"<$1\\|")
 
 
 def escape_role(role):

@@ -22,7 +22,7 @@ RULES = (
 )
 # Globs over ``.host`` and path for URLs that no rule fits; any match blocks.
 BLOCKED_GLOBS = (
-    "*spam*", "*cheap-pills*", "*casino*", "*viagra*", "*lottery*", "*jackpot*", "*betting*", "*porn*",
+    "*spam*", "*cheap-pills*", "*casino*", "*free-bets*", "*ads-track*", "*viagra*", "*lottery*", "*jackpot*", "*betting*", "*porn*",
     "*.xxx\xff*", "*torrent*", "*warez*", "*free-money*", "*payday*loan*", "*replica*watch*", "*adult*cams*",
     "*clickbait*", "*malware*", "*phish*", "*\xff/ads/*", "*\xff/track/*click*",
 )
