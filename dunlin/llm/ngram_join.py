@@ -36,7 +36,8 @@ from dunlin.session import materialize
 ZONE = 0.3  # share of the hash range in which frequencies are counted
 ROUNDS = 2  # pivot rounds before rows of different components are paired
 SHORT = 64  # columns of more rows are multiplied in blocks
-BLOCK = 256  # rows of such a block
+BLOCK = 1024  # rows of such a block
+BUCKETS = 128  # counts that stand for a row inside a block
 SEEN = 1 << 20  # sets that a task remembers, so as to send copies once
 FILTER_BITS = 28  # the broadcast filter has at most 2 ** 28 bits, 32 MB
 
@@ -163,7 +164,7 @@ def _row_filter(keys: DataFrame) -> np.ndarray:
     bits = min(FILTER_BITS, max(19, (32 * n).bit_length()))
     slots = keys.select(F.pmod(F.col("key"), F.lit(1 << bits)).alias("slot")).distinct()
 
-    def fill(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def fill(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         block = np.zeros(1 << 19, bool)
         block[pdf["slot"].to_numpy() & ((1 << 19) - 1)] = True
         return pd.DataFrame({"block": [key[0]], "bits": [np.packbits(block).tobytes()]})
@@ -176,7 +177,7 @@ def _row_filter(keys: DataFrame) -> np.ndarray:
 
 
 def _full_rows(texts: DataFrame, keys: DataFrame, size: int) -> DataFrame:
-    """Whole rows ``key, cells`` of the rows in ``keys``.
+    """Whole rows ``key, cells`` of the rows in ``keys``, with ``counts`` by bucket.
 
     A broadcast bitmap keeps back most rows nobody asked for; the join drops the rest.
     """
@@ -191,12 +192,13 @@ def _full_rows(texts: DataFrame, keys: DataFrame, size: int) -> DataFrame:
                     key = set_key(s)
                     slot = key % (len(bits) * 8)
                     if bits[slot >> 3] >> (7 - (slot & 7)) & 1 and _fresh(key, seen):
-                        found.append((key, s.tobytes()))
+                        found.append((key, s.tobytes(), _bucket_counts(s)))
             for i in range(0, len(found), 1000):
-                key, cells = zip(*found[i : i + 1000])
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(cells, pa.binary())], ["key", "cells"])
+                key, cells, counts = (pa.array(c, t) for c, t in zip(zip(*found[i : i + 1000]), types))
+                yield pa.RecordBatch.from_arrays([key, cells, counts], ["key", "cells", "counts"])
 
-    found = texts.mapInArrow(rows, "key long, cells binary")
+    types = (pa.int64(), pa.binary(), pa.binary())
+    found = texts.mapInArrow(rows, "key long, cells binary, counts binary")
     return found.join(keys, "key", "left_semi").dropDuplicates(["key"])
 
 
@@ -275,50 +277,68 @@ def _short_column_pairs(mixed: DataFrame, percent: int) -> DataFrame:
     return met.select(F.least("a_key", "b_key").alias("a"), F.greatest("a_key", "b_key").alias("b")).distinct()
 
 
-def _long_column_links(mixed: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """Links ``a, b`` between components in columns of more than ``SHORT`` rows.
+def _long_column_pairs(mixed: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of rows of different components in columns of more than ``SHORT`` rows.
 
-    The rows of a column are cut into blocks; a task gets two blocks with their whole
-    rows and multiplies them, so pairs never leave it unless they link.
+    The rows of a column are cut into blocks; a task multiplies two blocks of bucket
+    counts. ``sum(min(x, y))`` over the buckets is at least the overlap of two rows, so
+    pairs below the bound of their sizes are discarded there and never leave the task.
     """
 
     def product(pdf: pd.DataFrame) -> pd.DataFrame:
-        sides = [pdf[pdf["side"] == i] for i in (0, 1)]
-        cells = [[np.frombuffer(c, np.uint64) for c in side["cells"]] for side in sides]
-        if not cells[0] or not cells[1]:
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        both = np.intersect1d(*(np.concatenate(c) for c in cells))
-        overlap = np.zeros((len(cells[0]), len(cells[1])), np.float32)
-        for at in range(0, len(both), 4096):
-            part = both[at : at + 4096]
-            dense = []
-            for own in cells:
-                m = np.zeros((len(own), len(part)), np.float32)
-                for i, c in enumerate(own):
-                    c = c[np.searchsorted(c, part[0]) : np.searchsorted(c, part[-1], "right")]
-                    spot = np.searchsorted(part, c)
-                    m[i, spot[part[spot] == c]] = 1
-                dense.append(m)
-            overlap += dense[0] @ dense[1].T
-        n = [np.array([len(c) for c in own]) for own in cells]
-        union = n[0][:, None] + n[1][None, :] - overlap
-        apart = sides[0]["comp"].to_numpy()[:, None] != sides[1]["comp"].to_numpy()[None, :]
-        i, j = np.nonzero((100 * overlap >= percent * union) & apart)
-        return pd.DataFrame({"a": sides[0]["key"].to_numpy()[i], "b": sides[1]["key"].to_numpy()[j]})
-
-    many = _sided(mixed.where(F.col("rows") > SHORT)).withColumn("case", F.when(F.col("minor"), 0).otherwise(1))
+        left, right = (pdf[pdf["side"] == i] for i in (0, 1))
+        out = pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
+        if not len(left) or not len(right):
+            return out
+        y = _counts(right)
+        m, key, comp = y.sum(axis=1, dtype=np.int64), right["key"].to_numpy(), right["comp"].to_numpy()
+        found = [out]
+        for at in range(0, len(left), 16):
+            part = left.iloc[at : at + 16]
+            x = _counts(part)
+            most = np.minimum(x[:, None, :], y[None, :, :]).sum(axis=2, dtype=np.int64)
+            n = x.sum(axis=1, dtype=np.int64)
+            total = n[:, None] + m[None, :]
+            fit = (n[:, None] <= m[None, :]) & (part["comp"].to_numpy()[:, None] != comp[None, :])
+            i, j = np.nonzero(fit & ((100 + percent) * most >= percent * total))
+            found.append(pd.DataFrame({"a": part["key"].to_numpy()[i], "b": key[j]}))
+        return pd.concat(found)
+
+    many = _sided(mixed.where(F.col("rows") > SHORT))
+    inner_minor, inner_main = F.col("inner") & F.col("minor"), F.col("inner") & ~F.col("minor")
+    sums = many.groupBy("column").agg(
+        F.count_if(inner_minor).alias("l0"), F.count_if(inner_main).alias("l1"),
+        F.count("*").alias("r0"), F.count_if("minor").alias("r1"),
+    )
+    many = many.join(sums, "column")
+
+    def blocks(first: str, second: str):
+        held = F.when(F.col("case") == 0, F.col(first)).otherwise(F.col(second))
+        return F.greatest(F.ceil(held / BLOCK), F.lit(1)).cast("int")
+
     # Inner minor rows meet all rows; inner rows of the main component meet the minor ones.
-    left = many.where("inner").select("*", F.lit(0).alias("side"))
-    right = many.select("*", F.lit(1).alias("side"))
-    right = right.withColumn("case", F.explode(F.when(F.col("minor"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
-    blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("key"), blocks).cast("int")
-    every = F.explode(F.sequence(F.lit(0), blocks - 1))
-    left = left.withColumn("lb", own).withColumn("rb", every)
-    right = right.withColumn("rb", own).withColumn("lb", every)
+    left = many.where("inner").withColumn("case", F.when(F.col("minor"), 0).otherwise(1))
+    both = F.array(F.lit(0), F.lit(1))
+    right = many.withColumn("case", F.explode(F.when(F.col("minor"), both).otherwise(F.slice(both, 1, 1))))
+    spread = F.xxhash64("key")
+    left = left.withColumns({"side": F.lit(0), "lb": F.pmod(spread, blocks("l0", "l1")).cast("int")})
+    left = left.withColumn("rb", F.explode(F.sequence(F.lit(0), blocks("r0", "r1") - 1)))
+    right = right.withColumns({"side": F.lit(1), "rb": F.pmod(spread, blocks("r0", "r1")).cast("int")})
+    right = right.withColumn("lb", F.explode(F.sequence(F.lit(0), blocks("l0", "l1") - 1)))
     task = ["column", "case", "lb", "rb"]
-    sent = left.unionByName(right).select(*task, "side", "key", "comp").join(rows, "key")
-    return sent.groupBy(*task).applyInPandas(product, "a long, b long").distinct()
+    sent = left.select(*task, "side", "key", "comp").unionByName(right.select(*task, "side", "key", "comp"))
+    met = sent.join(rows.select("key", "counts"), "key").groupBy(*task).applyInPandas(product, "a long, b long")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _counts(pdf: pd.DataFrame) -> np.ndarray:
+    return np.stack([np.frombuffer(c, np.uint32) for c in pdf["counts"]])
+
+
+def _bucket_counts(shingles: np.ndarray) -> bytes:
+    """How many shingles fall into each of ``BUCKETS`` buckets."""
+    held = np.bincount((shingles & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+    return held.astype(np.uint32).tobytes()
 
 
 def ngram_jaccard_components(
@@ -355,8 +375,8 @@ def ngram_jaccard_components(
             if turn < ROUNDS:
                 new = _linked(_pivot_pairs(mixed, turn, percent), rows, percent)
             else:
-                new = _linked(_short_column_pairs(mixed, percent), rows, percent)
-                new = new.unionByName(_long_column_links(mixed, rows, percent))
+                pairs = _short_column_pairs(mixed, percent).unionByName(_long_column_pairs(mixed, rows, percent))
+                new = _linked(pairs.distinct(), rows, percent)
             new = materialize(new, "ngram-links")
             if not new.limit(1).count():
                 continue
