@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import base64
 import heapq
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +32,21 @@ LEAF_TOKENS = 1 << 16
 CACHE = 300_000  # pieces and pairs remembered per worker
 
 
+class _Pieces(dict):
+    """Tokens of a piece as packed 32-bit numbers, worked out when first asked for."""
+
+    def __init__(self, tokens):
+        self.tokens = tokens
+
+    def __missing__(self, piece: str) -> bytes:
+        packed = np.array(self.tokens(piece.encode()), np.int32).tobytes()
+        if len(piece) <= 64:
+            if len(self) >= CACHE:
+                self.clear()
+            self[piece] = packed
+        return packed
+
+
 class Codec:
     """Ranks (bytes to id) and a pattern; encodes one text after the other."""
 
@@ -40,49 +54,37 @@ class Codec:
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.pattern = regex.compile(pattern)
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.pieces = _Pieces(self._tokens)
         self.pairs: dict[tuple[int, int], bool] = {}
 
-    def encode(self, text: str) -> list[int]:
-        known, out = self.pieces, []
-        for piece in self._split(text):
-            tokens = known.get(piece)
-            if tokens is None:
-                tokens = tuple(self._tokens(piece.encode()))
-                if len(piece) <= 64:
-                    if len(known) >= CACHE:
-                        known.clear()
-                    known[piece] = tokens
-            out.extend(tokens)
-        return out
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, self._split(text))), np.int32)
 
-    def decode(self, ids) -> bytes:
+    def decode(self, ids: np.ndarray) -> bytes:
         if len(ids) <= LEAF_TOKENS:
-            return b"".join([self.bytes_of[i] for i in ids])
+            return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
         half = len(ids) // 2
         return self.decode(ids[:half]) + self.decode(ids[half:])
 
     def _split(self, text: str) -> list[str]:
-        if len(text) <= LEAF_CHARS:
-            return self.pattern.findall(text)
-        starts = self._starts(text, 0, len(text))
-        return [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)])]
+        return self._pieces_of(text, 0, len(text))
 
-    def _starts(self, text: str, low: int, high: int) -> list[int]:
-        """Where the pieces of ``text[low:high]`` begin."""
+    def _pieces_of(self, text: str, low: int, high: int) -> list[str]:
+        """The pieces of ``text[low:high]``."""
         if high - low <= LEAF_CHARS:
-            return [m.start() for m in self.pattern.finditer(text, low, high)]
+            return self.pattern.findall(text, low, high)
         middle = (low + high) // 2
-        left, right = self._starts(text, low, middle), self._starts(text, middle, high)
-        sure = left[:-2]
-        window = []
-        for match in self.pattern.finditer(text, left[len(sure)], high):
+        left, right = self._pieces_of(text, low, middle), self._pieces_of(text, middle, high)
+        sure, window = left[:-2], []
+        i, start = 0, middle  # a piece of the right half and where it begins
+        for match in self.pattern.finditer(text, middle - sum(map(len, left[-2:])), high):
             at = match.start()
-            if at >= middle:
-                i = bisect_left(right, at)
-                if i < len(right) and right[i] == at:
-                    return sure + window + right[i:]
-            window.append(at)
+            while start < at:
+                start += len(right[i])
+                i += 1
+            if start == at:
+                return sure + window + right[i:]
+            window.append(match[0])
         return sure + window
 
     def _tokens(self, piece: bytes) -> list[int]:
@@ -189,9 +191,9 @@ class SharedCodec:
         return _CODECS[key]
 
 
-def _lists(values: list[list[int]]) -> pa.ListArray:
+def _lists(values: list[np.ndarray]) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
-    flat = np.fromiter((i for v in values for i in v), np.int32, int(offsets[-1]))
+    flat = np.concatenate(values) if values else np.empty(0, np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
@@ -207,7 +209,7 @@ def encode_texts(docs: DataFrame, vocabulary: SharedCodec, id_col: str = "doc_id
         codec = vocabulary.codec()
         for batch in batches:
             for part in _slices(batch, 2000):
-                ids = [codec.encode(t) if t else [] for t in part.column("text").to_pylist()]
+                ids = [codec.encode(t or "") for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("id"), _lists(ids)], ["id", "ids"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -221,7 +223,10 @@ def decode_ids(encoded: DataFrame, vocabulary: SharedCodec) -> DataFrame:
         codec = vocabulary.codec()
         for batch in batches:
             for part in _slices(batch, 2000):
-                out = [codec.decode(i) if i else b"" for i in part.column("ids").to_pylist()]
+                ids = part.column("ids").fill_null([])
+                flat, ends = ids.flatten().to_numpy(zero_copy_only=False), np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))
+                starts = np.append(0, ends)
+                out = [codec.decode(flat[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], ["id", "ids", "decoded"])
 
     rows = encoded.select("id", "ids")
