@@ -168,7 +168,7 @@ def test_license_scan(spark):
 def test_license_rules_suppress_what_they_contain(spark):
     assert len(rules()) >= 200
     texts = {
-        "Licensed under the Apache License, Version 2.0 today": "apache-2.0,licensed",
+        "Licensed under the Apache License, Version 2.0 today": "apache-2.0",
         "GNU Lesser General Public License version 2.1 or later": "gpl,lgpl-2.1+",
         "(c) CC BY-SA 4.0": "cc-by,cc-by-sa-4.0",
         "permission is hereby granted, free of charge, to any person obtaining a copy": "mit",
@@ -250,7 +250,7 @@ def test_bpe_equals_the_library_on_hard_texts():
     texts += ["a" * 5000, "ab" * 4000, " " * 3000 + "x", "\n" * 2001, "the" * 3000, "漢" * 2000, "<|endoftext|>"]
     for t in texts:
         ids = codec.encode(t)
-        assert ids == want.encode_ordinary(t), repr(t[:80])
+        assert ids.tolist() == want.encode_ordinary(t), repr(t[:80])
         assert codec.decode(ids) == t.encode()
 
 
@@ -268,7 +268,7 @@ def test_bpe_split_is_joined_from_halves(monkeypatch):
             t = "".join(rng.choices(a, k=rng.randint(8, 90)))
             assert codec._split(t) == plain.findall(t), repr(t)
             ids = codec.encode(t)
-            assert ids == want.encode_ordinary(t), repr(t)
+            assert ids.tolist() == want.encode_ordinary(t), repr(t)
             assert codec.decode(ids) == t.encode()
 
 
