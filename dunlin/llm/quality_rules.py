@@ -134,3 +134,17 @@ def quality_rules(
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     judged = measures(docs, text_col, keep).withColumn("base_failed", failed)
     return judged.withColumn("kept", ~F.col("base_failed") & compile_rules(rules))
+
+
+def passing_rows(
+    docs: DataFrame, columns: tuple[str, ...], text_col: str = "text", rules=RULES, least_words: int = 50
+) -> DataFrame:
+    """The ``columns`` of the rows that ``quality_rules`` keeps.
+
+    A filter on ``kept`` would be pushed below the projections and repeat their expressions
+    inside each other. An outer generator stops that: it gives the row or null.
+    """
+    judged = quality_rules(docs, text_col, columns, rules, least_words)
+    row = F.filter(F.array(F.struct(*columns)), lambda _: F.col("kept"))
+    rows = judged.select(F.explode_outer(row).alias("row")).where("row is not null")
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in columns])

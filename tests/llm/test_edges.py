@@ -21,7 +21,7 @@ from dunlin.llm.quality_rules import quality_rules
 from dunlin.llm.shingles import CHUNK, shingle_sets, word_codes
 from dunlin.llm.url_rules import RULES, ShiftAnd, url_verdicts
 from dunlin.llm.warc import read_warc, write_warc
-from dunlin.session import new_path
+from dunlin.session import materialize, new_path
 from tests.llm import brute
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -292,12 +292,14 @@ def test_pipeline_stages(spark):
     for name, stage in STAGES:
         before = docs.count()
         assert stage(spark, docs.limit(0), sf_dir).count() == 0, name
-        docs = stage(spark, docs, sf_dir).cache()
+        docs = materialize(stage(spark, docs, sf_dir), name)
         assert docs.count() > 0
         if name != "byte_bpe":
             assert docs.columns == columns
         if name not in ("mix_sources", "byte_bpe"):
             assert docs.count() <= before
+        if name == "quality_rules":
+            assert all(not brute.quality(r.text)[-1] for r in docs.collect())
         if name == "ngram_jaccard_join":
             rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
             assert all(i == c for i, _, c in brute.components(rows))
