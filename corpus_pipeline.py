@@ -9,7 +9,7 @@ from dunlin.llm.bpe import encode_texts
 from dunlin.llm.mixing import mix_sources, token_count
 from dunlin.llm.ngram_join import ngram_jaccard_components
 from dunlin.llm.quality_classifier import fit_quality, score_quality
-from dunlin.llm.quality_rules import quality_rules
+from dunlin.llm.quality_rules import passing_rows
 from dunlin.llm.queries import LEAST_SCORE, public_codec
 from dunlin.session import materialize
 
@@ -18,7 +18,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def keep_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
-    return quality_rules(docs, keep=COLUMNS).where("kept").select(*COLUMNS)
+    return passing_rows(docs, COLUMNS)
 
 
 def keep_by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
