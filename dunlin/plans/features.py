@@ -146,9 +146,9 @@ _CLIENT = (
     + _sum_bands(_band_sql("c_acctbal", *customers.INCOME_BANDS))
     + " FROM customer GROUP BY 1"
 )
-_PRODUCTS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]
+_PRODUCTS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 _CONTRACT = (
-    "SELECT id, product_0, product_1, product_2, product_3, "
+    "SELECT id, product_0, product_1, product_2, product_3, product_4, "
     + ", ".join(f"CAST(ongoing = {i} AS INTEGER) AS ongoing_{i}" for i in range(5))
     + ", "
     + _band_sql("balance", *customers.BALANCE_BANDS)
