@@ -52,6 +52,22 @@ def scan_csv_nulls(spark, sf_dir):
     return read_csv(spark, path, "o_orderkey bigint, o_orderpriority string", null_value="\\N")
 
 
+@query("SELECT doc_id, text, lang FROM documents")
+def scan_csv_text(spark, sf_dir):
+    """Whole texts with quotes, commas and line ends, out and in."""
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    path = write_csv(texts, new_path(spark, "csv"))
+    return read_csv(spark, path, "doc_id bigint, text string, lang string", multi_line=True)
+
+
+@query("SELECT event_id, props FROM events")
+def scan_csv_json(spark, sf_dir):
+    """JSON inside CSV: quotes are doubled."""
+    rows = table(spark, sf_dir, "events").select("event_id", "props")
+    path = write_csv(rows, new_path(spark, "csv"))
+    return read_csv(spark, path, "event_id bigint, props string")
+
+
 @query("SELECT s_suppkey, s_name, s_acctbal FROM supplier")
 def sink_csv(spark, sf_dir):
     out = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")

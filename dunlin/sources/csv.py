@@ -16,11 +16,19 @@ def read_csv(
     sep: str = ",",
     null_value: str = "",
     line_end: str = "\n",
+    multi_line: bool = False,
 ) -> DataFrame:
     """Header CSV. With a schema there is no pass over the data to infer one,
-    and ``columns`` reaches the scan as its read schema."""
+    and ``columns`` reaches the scan as its read schema.
+
+    A quote inside quotes is doubled. Line ends inside quotes need ``multi_line``,
+    which reads every file in one task. A malformed row stops the read.
+    """
     reader = (
         spark.read.option("header", True)
+        .option("mode", "FAILFAST")
+        .option("escape", '"')
+        .option("multiLine", multi_line)
         .option("sep", sep)
         .option("lineSep", line_end)
         .option("nullValue", null_value)
@@ -41,6 +49,7 @@ def write_csv(
     """Header CSV without an index; ``by`` makes one folder per key in one pass."""
     writer = (
         df.write.option("header", True)
+        .option("escape", '"')
         .option("sep", sep)
         .option("lineSep", line_end)
         .option("nullValue", null_value)
