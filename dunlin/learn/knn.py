@@ -19,8 +19,8 @@ def _neighbours(train: DataFrame, test: DataFrame, row_id: str, vector: str, tar
 def _vote(votes: DataFrame, keys: list[str]) -> DataFrame:
     """Most frequent label per key; of equally frequent ones the lowest."""
     counts = votes.groupBy(*keys, "__t").agg(F.count("*").alias("n"))
-    winner = F.max_by("__t", F.struct("n", -F.col("__t")))
-    return counts.groupBy(*keys).agg(winner.alias("predicted"))
+    winner = F.min(F.struct((-F.col("n")).alias("n"), "__t"))
+    return counts.groupBy(*keys).agg(winner.getField("__t").alias("predicted"))
 
 
 def knn_classify(
