@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from dunlin.operators.ordering import ranked
 from dunlin.session import materialize
 
-SMALL_ROWS = 250_000  # no key of so small a table can hold back a join
-HOT_SHARE = 1 / 128  # a key with more than this share of all rows is hot: at most 128 keys
+TASK_ROWS = 250_000  # rows of one key that a task takes
+MOST_HOT = 1 << 16  # keys that may be split, so that their list can be broadcast
 
 
 def join_by_position(
@@ -28,35 +28,31 @@ def full_outer(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFram
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys holding more than ``HOT_SHARE`` of the rows: at most 1 / HOT_SHARE rows."""
-    limit = df.count() * HOT_SHARE
-    return df.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > limit).drop("__n")
+    """Keys with more rows than a task should have, and ``__salts``, the tasks each needs.
 
+    At most ``MOST_HOT`` keys, whatever the size of the table: a task's share is
+    ``TASK_ROWS`` or, beyond ``TASK_ROWS * MOST_HOT`` rows, the rows over ``MOST_HOT``.
+    """
+    share = max(TASK_ROWS, -(-df.count() // MOST_HOT))
+    counted = df.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > share)
+    return counted.select(*keys, F.ceil(F.col("__n") / share).cast("int").alias("__salts"))
 
-def salted_join(
-    big: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner", salts: int = 32
-) -> DataFrame:
-    """Join in which a hot key of ``big`` is spread over ``salts`` tasks.
+
+def salted_join(big: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join in which a hot key of ``big`` is spread over as many tasks as its rows need.
 
     Rows of ``other`` are repeated for hot keys only. ``how`` is inner or left.
     A ``big`` side that fits a single task is joined as it is.
     """
     on = list(on)
-    if big.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
+    if big.limit(TASK_ROWS + 1).count() <= TASK_ROWS:
         return big.join(other, on, how)
-    hot = F.broadcast(hot_keys(big, on).withColumn("__hot", F.lit(True)))  # at most 128 rows
-    spread = F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")
-    left = (
-        big.join(hot, on, "left")
-        .withColumn("__salt", F.when(F.col("__hot"), spread).otherwise(F.lit(0)))
-        .drop("__hot")
-    )
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    right = (
-        other.join(hot, on, "left")
-        .withColumn("__salt", F.explode(F.when(F.col("__hot"), every).otherwise(F.array(F.lit(0)))))
-        .drop("__hot")
-    )
+    hot = F.broadcast(hot_keys(big, on))  # at most MOST_HOT rows
+    salts = F.coalesce("__salts", F.lit(1))
+    spread = F.pmod(F.xxhash64(*big.columns), salts).cast("int")
+    left = big.join(hot, on, "left").withColumn("__salt", spread).drop("__salts")
+    every = F.explode(F.sequence(F.lit(0), salts - 1))
+    right = other.join(hot, on, "left").withColumn("__salt", every).drop("__salts")
     return left.join(right, [*on, "__salt"], how).drop("__salt")
 
 
