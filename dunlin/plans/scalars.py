@@ -428,7 +428,7 @@ def map_enumerate(spark, sf_dir):
 
 @query(
     "SELECT p_partkey, p_size AS size, CASE WHEN p_type = 'SMALL' THEN 7 END AS small, p_type = 'SMALL' "
-    "AS has_small, p_size = 7 OR length(p_name) = 7 OR TRUE AS has_seven FROM part"
+    "AS has_small, p_size = 9 OR length(p_name) = 9 AS has_nine FROM part"
 )
 def map_get_contains(spark, sf_dir):
     m = F.col("m")
@@ -437,7 +437,7 @@ def map_get_contains(spark, sf_dir):
         F.try_element_at(m, F.lit("size")).alias("size"),
         F.try_element_at(m, F.lit("SMALL")).alias("small"),
         F.map_contains_key(m, "SMALL").alias("has_small"),
-        F.array_contains(F.map_values(m), 7).alias("has_seven"),
+        F.array_contains(F.map_values(m), 9).alias("has_nine"),
     )
 
 
@@ -471,20 +471,21 @@ def map_drop_empty(spark, sf_dir):
 
 
 @query(
-    "SELECT c_custkey, 'balance,nation,name' AS to_end, 'nation,name,balance' AS to_front FROM customer"
+    "SELECT c_custkey, 'segment=' || c_mktsegment || ',nation=' || c_nationkey || ',name=' || c_name AS to_end, "
+    "'nation=' || c_nationkey || ',name=' || c_name || ',segment=' || c_mktsegment AS to_front FROM customer"
 )
 def entries_move(spark, sf_dir):
     entries = F.array(
         *[
             F.struct(F.lit(k).alias("k"), F.col(c).cast("string").alias("v"))
-            for k, c in (("name", "c_name"), ("balance", "c_acctbal"), ("nation", "c_nationkey"))
+            for k, c in (("name", "c_name"), ("segment", "c_mktsegment"), ("nation", "c_nationkey"))
         ]
     )
-    keys = lambda e: joined(F.transform(e, lambda x: x["k"]))
+    shown = lambda e: joined(F.transform(e, lambda x: F.concat_ws("=", x["k"], x["v"])))
     return table(spark, sf_dir, "customer").select(
         "c_custkey",
-        keys(nested.move_entry(entries, "name")).alias("to_end"),
-        keys(nested.move_entry(entries, "nation", last=False)).alias("to_front"),
+        shown(nested.move_entry(entries, "name")).alias("to_end"),
+        shown(nested.move_entry(entries, "nation", last=False)).alias("to_front"),
     )
 
 

@@ -10,11 +10,14 @@ from dunlin.cluster import assign, birch, grid, kmeans, scores, spectral
 from dunlin.cluster import dbscan as density
 from dunlin.cluster.components import connected_components
 from dunlin.cluster.gmeans import anderson_darling, gmeans
-from dunlin.learn import classify, grouped
+from dunlin.features import customers
+from dunlin.learn import classify, grouped, knn
 from dunlin.operators import joins
 from dunlin.operators.neighbors import cluster_distances, knn_join
 from dunlin.operators.ordering import ranked
 from dunlin.operators.sparse import sparse_topk
+from dunlin.session import new_path
+from dunlin.sources import csv
 
 
 def frame(spark, x, extra=()):
@@ -243,7 +246,7 @@ def test_ranked_groups(spark):
 
 
 def test_salted_and_eps_join(spark, monkeypatch):
-    monkeypatch.setattr(joins, "SMALL_ROWS", 10)
+    monkeypatch.setattr(joins, "TASK_ROWS", 10)
     big = spark.range(900).select("id", F.when(F.col("id") < 600, 1).otherwise(F.col("id")).alias("k"))
     other = spark.range(1, 800).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
     plain = big.join(other, ["k"], "left").select("id", "k", "w")
@@ -257,6 +260,39 @@ def test_salted_and_eps_join(spark, monkeypatch):
     assert got == {(int(i), int(j)) for i, j in zip(*np.nonzero(d <= 0.3))}
 
 
+def test_hot_keys_are_split_by_their_size(spark, monkeypatch):
+    monkeypatch.setattr(joins, "TASK_ROWS", 10)
+    one = spark.range(4000).select("id", F.lit(1).alias("k"))
+    assert [tuple(r) for r in joins.hot_keys(one, ["k"]).collect()] == [(1, 400)]
+    thin = spark.range(4000).select("id", F.when(F.col("id") % 200 == 0, -1).otherwise(F.col("id")).alias("k"))
+    assert [tuple(r) for r in joins.hot_keys(thin, ["k"]).collect()] == [(-1, 2)]
+    other = spark.createDataFrame([(1, "a"), (-1, "b")], "k long, w string")
+    assert joins.salted_join(one, other, ["k"]).count() == 4000
+    assert joins.salted_join(thin, other, ["k"]).count() == 21
+    monkeypatch.setattr(joins, "MOST_HOT", 4)
+    assert joins.hot_keys(one, ["k"]).first()["__salts"] == 4
+
+
+def test_knn_votes_on_text_labels(spark):
+    rows = [(i, [float(i), 0.0], "b" if i < 3 else "a") for i in range(6)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, y string")
+    got = knn.knn_classify(df, df.where("id = 1"), "id", "v", "y", 3).collect()
+    assert [r.predicted for r in got] == ["b"]
+
+
+def test_client_features_follow_the_data(spark):
+    rows = [(i % 3, f"p{i % 7}", None, 1.0) for i in range(21)]
+    df = spark.createDataFrame(rows, "id long, product string, closed timestamp, balance double")
+    out = customers.contract_features(df)
+    assert [c for c in out.columns if c.startswith("product_")] == [f"product_{i}" for i in range(7)]
+
+
+def test_csv_keeps_quotes_and_line_ends(spark):
+    rows = [(1, 'a "b", c'), (2, "x\ny"), (3, '[{"id": 1, "name": "A"}, {"id": 2}]'), (4, "back\\slash"), (5, 'end"')]
+    path = csv.write_csv(spark.createDataFrame(rows, "id long, t string"), new_path(spark, "csv-test"))
+    assert sorted(map(tuple, csv.read_csv(spark, path, "id long, t string", multi_line=True).collect())) == rows
+
+
 def test_balanced_bags_are_balanced(spark):
     df = spark.range(300).select("id", F.when(F.col("id") < 30, "rare").otherwise("common").alias("y"))
     bags = classify.balanced_bags(df, "id", "y", 2)
