@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,10 +50,23 @@ def series_bounds(df: DataFrame, ts: str) -> DataFrame:
     )
 
 
+def _points(bounds: DataFrame, start: str, end: Column) -> DataFrame:
+    """Points from ``start`` to ``end`` of the one row of ``bounds``, a step apart, as a distributed range."""
+    spark = bounds.sparkSession
+    row = bounds.select(F.col(start).alias("a"), end.cast("timestamp_ntz").alias("b"), "first_ts", "second_ts").first()
+    count, micros, first = 0, 0, "1970-01-01"
+    if row is not None and None not in row:
+        step = row["second_ts"] - row["first_ts"]
+        count = max(0, (row["b"] - row["a"]) // step + 1)
+        micros, first = round(step / timedelta(microseconds=1)), row["a"].isoformat(sep=" ")
+    seconds = ((F.col("id") * micros).cast("decimal(24,6)") / 1_000_000).cast("decimal(18,6)")
+    moved = F.lit(first).cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    return spark.range(count).select(moved.alias("ts"))
+
+
 def infer_step_grid(df: DataFrame, ts: str, end: Column) -> DataFrame:
     """Grid from the first point to ``end`` with the step of the first two points."""
-    step = F.col("second_ts") - F.col("first_ts")
-    return series_bounds(df, ts).select(F.explode(F.sequence("first_ts", end, step)).alias("ts"))
+    return _points(series_bounds(df, ts), "first_ts", end)
 
 
 def forecast_horizon(df: DataFrame, ts: str) -> DataFrame:
@@ -65,8 +80,7 @@ def forecast_horizon(df: DataFrame, ts: str) -> DataFrame:
     unit = F.when(seconds >= 86400, 86400).otherwise(3600)
     whole = (F.floor(seconds / unit) * unit).cast("int")
     end = F.col("last_ts") + F.make_dt_interval(secs=whole)
-    step = F.col("second_ts") - F.col("first_ts")
-    return series_bounds(df, ts).select(F.explode(F.sequence("last_ts", end, step)).alias("ts"))
+    return _points(series_bounds(df, ts), "last_ts", end)
 
 
 def is_open(closed: Column) -> Column:

@@ -11,6 +11,7 @@ from dunlin.cluster import dbscan as density
 from dunlin.cluster.components import connected_components
 from dunlin.cluster.gmeans import anderson_darling, gmeans
 from dunlin.features import customers
+from dunlin.functions import times
 from dunlin.learn import classify, grouped, knn
 from dunlin.operators import joins
 from dunlin.operators.neighbors import cluster_distances, knn_join
@@ -273,6 +274,20 @@ def test_hot_keys_are_split_by_their_size(spark, monkeypatch):
     assert joins.hot_keys(one, ["k"]).first()["__salts"] == 4
 
 
+def test_spectral_keeps_far_rows_and_rows_alone(spark):
+    x = np.concatenate([np.random.default_rng(3).standard_normal((80, 2)), [[6000.0, 0.0]]])
+    df, names = columns(spark, x)
+    assert spectral.spectral(df, "id", names, 2).select("row").distinct().count() == 81
+
+
+def test_fine_time_grid_is_distributed(spark):
+    rows = spark.range(3).select(F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id * 0.000001)").alias("ts"))
+    rows = rows.union(spark.sql("select timestamp_ntz'2024-01-01 00:00:03'"))
+    grid = times.infer_step_grid(rows, "ts", F.col("last_ts"))
+    assert grid.count() == 3_000_001 and grid.rdd.getNumPartitions() > 1
+    assert str(grid.agg(F.max("ts")).first()[0]) == "2024-01-01 00:00:03"
+
+
 def test_knn_votes_on_text_labels(spark):
     rows = [(i, [float(i), 0.0], "b" if i < 3 else "a") for i in range(6)]
     df = spark.createDataFrame(rows, "id long, v array<double>, y string")
