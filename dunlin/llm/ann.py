@@ -27,7 +27,8 @@ MOST_LISTS = 4096
 REPLICAS = 4  # lists a border vector may be in
 REPLICA_RATIO = 1.15
 READ_RATIO = 1.6  # lists up to this multiple of the nearest centroid's distance are read
-WALK = 64  # centroids kept by the graph walk
+WALK = 64  # centroids kept by the graph walk at least,
+WALK_SHARE = 1 / 6  # and this share of them, so that recall holds as lists grow in number
 LINKS = 12
 BLOCK = 2048  # rows of a list that meet in one task
 QUERY_BLOCK = 1024
@@ -69,6 +70,7 @@ class CentroidGraph:
             else:
                 done.append(part.mean(axis=0))
         self.centers = np.array(done)
+        self.width = max(WALK, round(WALK_SHARE * len(done)))
         k = min(LINKS, len(done) - 1)
         links: list[set[int]] = [set() for _ in done]
         for at in range(0, len(done), 512):
@@ -87,12 +89,12 @@ class CentroidGraph:
         return np.concatenate([_distances(x[i : i + 2048], centers).argmin(axis=1) for i in range(0, len(x), 2048)])
 
     def walk(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ``WALK`` centroids nearest to ``q`` that a best-first walk finds, nearest first."""
+        """The ``width`` centroids nearest to ``q`` that a best-first walk finds, nearest first."""
         start = float(np.linalg.norm(self.centers[0] - q))
         seen, open_, best = {0}, [(start, 0)], [(-start, 0)]
         while open_:
             d, i = heapq.heappop(open_)
-            if len(best) >= WALK and d > -best[0][0]:
+            if len(best) >= self.width and d > -best[0][0]:
                 break
             fresh = [j for j in self.links[i].tolist() if j not in seen]
             if not fresh:
@@ -100,10 +102,10 @@ class CentroidGraph:
             seen.update(fresh)
             gaps = np.sqrt(((self.centers[fresh] - q) ** 2).sum(axis=1)).tolist()
             for gap, j in zip(gaps, fresh):
-                if len(best) < WALK or gap < -best[0][0]:
+                if len(best) < self.width or gap < -best[0][0]:
                     heapq.heappush(open_, (gap, j))
                     heapq.heappush(best, (-gap, j))
-                    if len(best) > WALK:
+                    if len(best) > self.width:
                         heapq.heappop(best)
         found = sorted((-d, j) for d, j in best)
         return np.array([d for d, _ in found]), np.array([j for _, j in found])
