@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from dunlin.llm.bpe import read_ranks
-from dunlin.llm.queries import QUERIES
+from dunlin.llm.queries import QUERIES, SQL
 from dunlin.llm.url_rules import BLOCKED_GLOBS, RULES
 from tests.llm import brute
+from tests.oracle import compare, connect
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -145,3 +146,8 @@ def test_byte_bpe(spark, docs):
         assert got[d].n_tokens == len(ids)
         assert got[d].ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert got[d].decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_equals_sql(spark, name):
+    assert compare(connect(SF_DIR), QUERIES[name](spark, SF_DIR), SQL[name])[0] == ""
