@@ -42,6 +42,8 @@ HEADLINE = [
     "kmeans",
     "birch",
     "dbscan",
+    "anderson_darling",
+    "spectral",
 ]
 
 
