@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dunlin.llm.bpe import encode_texts
-from dunlin.llm.mixing import mix_sources, token_count
+from dunlin.llm.mixing import mix_schedule, token_count
 from dunlin.llm.ngram_join import ngram_jaccard_components
 from dunlin.llm.quality_classifier import fit_quality, score_quality
 from dunlin.llm.quality_rules import passing_rows
@@ -41,16 +41,16 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix reads them: repeated, or left out.
+    """Documents in the order of the mix, as often as it reads them: repeated, or left out.
 
-    The mix reads a source over and over up to its target, so only the document at the
-    target is read in part; it counts if at least half of it is.
+    A document stands where the slots have its first token; files and their rows are in
+    order of the slots. The mix reads a source over and over up to its target, so only the
+    document at the target is read in part; it counts if at least half of it is.
     """
-    taken = mix_sources(docs, token_count(F.col("text")), keep=("doc_id",))
-    times = F.round(F.col("taken") / F.col("size")).cast("int")
-    times = taken.where("size > 0").select("doc_id", times.alias("times")).where("times > 0")
-    rows = docs.select(*COLUMNS).join(times, "doc_id")
-    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*COLUMNS)
+    pieces = mix_schedule(docs, token_count(F.col("text")), keep=("doc_id",))
+    begun = pieces.where("doc_from = 0 and 2 * read >= size").select("doc_id", "slot", "block_from")
+    rows = docs.select(*COLUMNS).join(begun, "doc_id")
+    return rows.orderBy("slot", "block_from").select(*COLUMNS)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

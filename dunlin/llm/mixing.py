@@ -93,8 +93,9 @@ def slot_schedule(spark, blocks: DataFrame, slots: int) -> DataFrame:
     """Rows ``(slot, sid, block)``: which block of which source each slot takes.
 
     ``blocks`` has ``sid, share_from, share_to, n_blocks``: the source's part of [0, 1) and
-    how many blocks it needs. Slots are ranked per source; ranks past ``n_blocks`` are
-    left out and missing ones follow at the end, so every block is taken once.
+    how many blocks it needs, ``slots`` in all. A source's points past ``n_blocks`` leave
+    their slots to the sources with too few points. Then the slots of a source are ranked:
+    each of the ``slots`` slots takes one block, and a source's blocks come in order.
     """
     cells = max(1, min(slots, 1 << 20))
     # A point and the shares meet in cells, so no slot is compared with all sources.
@@ -104,41 +105,41 @@ def slot_schedule(spark, blocks: DataFrame, slots: int) -> DataFrame:
     point = F.pmod(F.pmod(F.col("id"), F.lit(1 << 31)) * F.lit(_GOLDEN), F.lit(1 << 32)) / F.lit(float(1 << 32))
     points = spark.range(slots).select(F.col("id").alias("slot"), point.alias("u"))
     points = points.withColumn("cell", F.floor(F.col("u") * cells).cast("long"))
-    hit = points.join(ranges, "cell").where("u >= share_from and u < share_to")
-    hit = hit.select("slot", "sid", "n_blocks", F.floor(F.col("slot") / SLOT_BUCKET).alias("bucket"), F.lit(1).alias("one"))
-    ranked = running_start(hit, ["sid"], "bucket", ["slot"], "one", "block").where("block < n_blocks")
-    had = ranked.groupBy("sid").agg(F.count("*").alias("had"))
-    lacking = blocks.join(had, "sid", "left").withColumn("had", F.coalesce("had", F.lit(0).cast("long")))
-    lacking = lacking.where("had < n_blocks").select(
-        (F.lit(slots) + F.monotonically_increasing_id()).alias("slot"),
-        "sid",
-        F.explode(F.sequence("had", F.col("n_blocks") - 1)).alias("block"),
+    hit = points.join(ranges, "cell").where("u >= share_from and u < share_to").select("slot", "sid", "n_blocks")
+    hit = materialize(_ranked_slots(hit), "mix-points")
+    had = hit.groupBy("sid").agg(F.count("*").alias("had"))
+    lacking = blocks.select("sid", "n_blocks").join(had, "sid", "left").fillna(0, ["had"]).where("had < n_blocks")
+    lacking = lacking.select(
+        "sid", (F.col("n_blocks") - F.col("had")).alias("lacks"), F.pmod("sid", F.lit(SLOT_BUCKET)).alias("bucket")
     )
-    return ranked.select("slot", "sid", "block").unionByName(lacking)
+    lacking = running_start(lacking, [], "bucket", ["sid"], "lacks", "from")
+    lacking = lacking.select("sid", F.explode(F.sequence("from", F.col("from") + F.col("lacks") - 1)).alias("hole"))
+    free = hit.where("block >= n_blocks").select("slot", "bucket", "one")
+    free = running_start(free, [], "bucket", ["slot"], "one", "hole")
+    kept = hit.where("block < n_blocks").select("slot", "sid")
+    filled = kept.unionByName(free.join(lacking, "hole").select("slot", "sid"))
+    return _ranked_slots(filled).select("slot", "sid", "block")
 
 
-def mix_sources(
+def _ranked_slots(slots: DataFrame) -> DataFrame:
+    """Add ``block``, how many earlier slots the source has."""
+    parts = {"bucket": F.floor(F.col("slot") / SLOT_BUCKET), "one": F.lit(1)}
+    return running_start(slots.withColumns(parts), ["sid"], "bucket", ["slot"], "one", "block")
+
+
+def _pieces(
     docs: DataFrame,
     size: Column,
-    source_col: str = "source",
-    keep: Sequence[str] = (),
-    weights: Sequence[float] = WEIGHTS,
-    most_repeats: int = MOST_REPEATS,
-    block_tokens: int = BLOCK_TOKENS,
-    seed: int = 42,
-) -> DataFrame:
-    """Columns ``keep``, ``size, source_size, target, taken`` for each row of ``docs``.
+    source_col: str,
+    keep: Sequence[str],
+    weights: Sequence[float],
+    most_repeats: int,
+    block_tokens: int,
+    seed: int,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of size 0, and for each other row the pieces that the blocks hold of it.
 
-    ``taken`` counts the tokens of the row that the mix takes, repeats included. The blocks
-    of a source hold ``floor(target)`` tokens in all, the last one fewer than the others, so
-    what a source gives misses its target by less than one token, and no row is read more
-    than ``most_repeats`` times. The shuffle is a hash of ``keep``, ``source`` and the size:
-    reruns agree, and ties between equal rows change nothing.
-
-    A null source is a source of its own, last in order. Rows of size 0 or null are taken 0
-    times. Repeated rows are separate rows of the shuffle. If all sizes are 0 every target is
-    0. An empty table gives no rows. Columns not in ``keep`` are dropped, so they cannot
-    clash; ``keep`` must not name an output column.
+    A piece has the ``slot`` of its block; a row that no block reads has one without a slot.
     """
     spark = docs.sparkSession
     kept = F.struct(*[F.col(c) for c in keep]) if keep else F.struct(F.lit(1))
@@ -160,7 +161,7 @@ def mix_sources(
     sid = F.xxhash64(F.col("source").isNull(), F.coalesce("source", F.lit("")))
     some = rows.where("size > 0").select("kept", sid.alias("sid"), "size", "mix", bucket.alias("bucket"))
     placed = running_start(some, ["sid"], "bucket", ["mix", "kept"], "size", "start")
-    plan = sources.select("sid", "source_size", "target", "take")
+    plan = sources.select("sid", "source", "source_size", "target", "take")
     # Each source is one row: hot sources are split by the bucket of the row.
     placed = _with_source(placed, plan, buckets)
     # The row's places in the source read over and over: one per repeat that begins early enough.
@@ -171,11 +172,15 @@ def mix_sources(
     read = read.withColumns({"begin": begin, "end": F.least(begin + F.col("size"), F.col("take"))})
     first, stop = F.floor(F.col("begin") / block_tokens), F.floor((F.col("end") - 1) / block_tokens)
     pieces = read.withColumn("block", F.explode_outer(F.when(F.col("turn").isNotNull(), F.sequence(first, stop))))
-    piece = F.least("end", (F.col("block") + 1) * block_tokens) - F.greatest("begin", F.col("block") * block_tokens)
-    pieces = pieces.withColumn("tokens", piece)
+    at = F.col("block") * block_tokens
+    low, high = F.greatest("begin", at), F.least("end", at + block_tokens)
+    pieces = pieces.withColumns({"block_from": low - at, "block_to": high - at, "doc_from": low - F.col("begin")})
+    # Sources lie on [0, 1) in order of code points, so that slots do not depend on partitions.
+    shares = sources.withColumns({"__null": F.col("source").isNull().cast("int"), "__name": F.coalesce("source", F.lit(""))})
+    shares = shares.repartitionByRange("__null", "__name").sortWithinPartitions("__null", "__name")
+    shares = shares.withColumn("__at", F.monotonically_increasing_id()).select("sid", "n_blocks", "__at")
+    shares = materialize(shares, "mix-shares").withColumn("__p", F.shiftrightunsigned("__at", 33))
     weights_to = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-    shares = sources.withColumn("__p", F.spark_partition_id())
-    shares = materialize(shares.withColumn("__at", F.monotonically_increasing_id()), "mix-shares")
     parts = shares.groupBy("__p").agg(F.sum("n_blocks").alias("n"))
     parts = parts.withColumn("start", F.coalesce(F.sum("n").over(weights_to), F.lit(0))).drop("n")
     inside = Window.partitionBy("__p").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
@@ -188,13 +193,66 @@ def mix_sources(
         ((F.col("from") + F.col("n_blocks")) / max(slots, 1)).alias("share_to"),
     )
     schedule = slot_schedule(spark, materialize(shares, "mix-ranges"), slots)
-    met = pieces.join(schedule, ["sid", "block"], "left")
-    taken = F.coalesce(F.sum(F.when(F.col("slot").isNotNull(), F.col("tokens"))), F.lit(0)).cast("long")
+    rest = rows.where("size = 0").select("kept", sid.alias("sid"), "size", bucket.alias("bucket"))
+    return _with_source(rest, plan, buckets), pieces.join(schedule, ["sid", "block"], "left")
+
+
+def mix_schedule(
+    docs: DataFrame,
+    size: Column,
+    source_col: str = "source",
+    keep: Sequence[str] = (),
+    weights: Sequence[float] = WEIGHTS,
+    most_repeats: int = MOST_REPEATS,
+    block_tokens: int = BLOCK_TOKENS,
+    seed: int = 42,
+) -> DataFrame:
+    """The mix itself: ``keep``, ``source, size, slot, block, block_from, block_to, doc_from, turn, read``.
+
+    A row is a piece of a row of ``docs``: tokens ``block_from`` to before ``block_to`` of the
+    source's block, which the slot takes, are the document's from ``doc_from`` on. Slots count
+    from 0 without gaps; the stream is the pieces in order of ``slot``, ``block_from``.
+    ``turn`` numbers the readings of the document, each with a piece of ``doc_from`` 0;
+    ``read`` is how many of its tokens that reading has. The rest is as in ``mix_sources``;
+    ``keep`` must not name an output column.
+    """
+    _, pieces = _pieces(docs, size, source_col, keep, weights, most_repeats, block_tokens, seed)
+    columns = [F.col("kept").getField(c).alias(c) for c in keep]
+    return pieces.where(F.col("slot").isNotNull()).select(
+        *columns, "source", "size", "slot", "block", "block_from", "block_to", "doc_from", "turn",
+        (F.col("end") - F.col("begin")).alias("read"),
+    )
+
+
+def mix_sources(
+    docs: DataFrame,
+    size: Column,
+    source_col: str = "source",
+    keep: Sequence[str] = (),
+    weights: Sequence[float] = WEIGHTS,
+    most_repeats: int = MOST_REPEATS,
+    block_tokens: int = BLOCK_TOKENS,
+    seed: int = 42,
+) -> DataFrame:
+    """Columns ``keep``, ``size, source_size, target, taken`` for each row of ``docs``.
+
+    ``taken`` sums the tokens of the row in the slots of ``mix_schedule``, repeats included. The blocks
+    of a source hold ``floor(target)`` tokens in all, the last one fewer than the others, so
+    what a source gives misses its target by less than one token, and no row is read more
+    than ``most_repeats`` times. The shuffle is a hash of ``keep``, ``source`` and the size:
+    reruns agree, and ties between equal rows change nothing.
+
+    A null source is a source of its own, last in order. Rows of size 0 or null are taken 0
+    times. Repeated rows are separate rows of the shuffle. If all sizes are 0 every target is
+    0. An empty table gives no rows. Columns not in ``keep`` are dropped, so they cannot
+    clash; ``keep`` must not name an output column.
+    """
+    rest, pieces = _pieces(docs, size, source_col, keep, weights, most_repeats, block_tokens, seed)
+    tokens = F.when(F.col("slot").isNotNull(), F.col("block_to") - F.col("block_from"))
+    taken = F.coalesce(F.sum(tokens), F.lit(0)).cast("long")
     columns = [F.col("kept").getField(c).alias(c) for c in keep]
-    out = met.groupBy("kept", "sid", "size", "start", "source_size", "target").agg(taken.alias("taken"))
+    out = pieces.groupBy("kept", "sid", "size", "start", "source_size", "target").agg(taken.alias("taken"))
     out = out.select(*columns, "size", "source_size", "target", "taken")
-    rest = rows.where("size = 0").select("kept", sid.alias("sid"), "size", bucket.alias("bucket"))
-    rest = _with_source(rest, plan, buckets)
     rest = rest.select(*columns, "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
     return out.unionByName(rest)
 

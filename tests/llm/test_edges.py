@@ -14,7 +14,7 @@ from dunlin.llm.ann import CentroidGraph, nearest_neighbours
 from dunlin.llm.bpe import Codec, SharedCodec, decode_ids, encode_texts, read_ranks
 from dunlin.llm.chat import format_chat, read_chat
 from dunlin.llm.license_scan import license_scan, rules
-from dunlin.llm.mixing import mix_sources, source_targets, token_count
+from dunlin.llm.mixing import mix_schedule, mix_sources, source_targets, token_count
 from dunlin.llm.ngram_join import ngram_jaccard_components
 from dunlin.llm.quality_classifier import fit_quality, score_quality
 from dunlin.llm.quality_rules import quality_rules
@@ -116,6 +116,48 @@ def test_mixing(spark, null_sources):
     assert all(r.taken == 0 and r.target == 0 for r in none)
 
 
+def test_mix_schedule_is_balanced_and_whole(spark):
+    rows = [(i, ("a", "b", "c", None)[i % 7 % 4], 1 + i * 37 % 90) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, n long")
+    got = mix_schedule(df, F.col("n"), keep=("doc_id",), block_tokens=64).orderBy("slot", "block_from").collect()
+    taken = {r.doc_id: r.taken for r in mix_sources(df, F.col("n"), keep=("doc_id",), block_tokens=64).collect()}
+    summed, slots, readings = dict.fromkeys(taken, 0), {}, {}
+    for r in got:
+        summed[r.doc_id] += r.block_to - r.block_from
+        slots.setdefault(r.slot, []).append(r)
+        readings.setdefault((r.doc_id, r.turn), []).append(r)
+    assert summed == taken
+    assert list(slots) == list(range(len(slots)))  # no gaps
+    for pieces in slots.values():  # one block each, its tokens in turn
+        assert len({(r.source, r.block) for r in pieces}) == 1 and pieces[0].block_from == 0
+        assert all(a.block_to == b.block_from for a, b in zip(pieces, pieces[1:]))
+    for pieces in readings.values():
+        assert sum(r.block_to - r.block_from for r in pieces) == pieces[0].read <= pieces[0]["size"]
+        at = 0
+        for r in sorted(pieces, key=lambda r: r.doc_from):
+            assert r.doc_from == at
+            at += r.block_to - r.block_from
+    needs, seen = {}, {}
+    for pieces in slots.values():
+        needs[pieces[0].source] = needs.get(pieces[0].source, 0) + 1
+    for slot, pieces in slots.items():  # a source's blocks in order, each prefix near the targets
+        s = pieces[0].source
+        assert pieces[0].block == seen.get(s, 0)
+        seen[s] = seen.get(s, 0) + 1
+        assert all(abs(seen.get(x, 0) - (slot + 1) * n / len(slots)) <= 4 for x, n in needs.items())
+    again = mix_schedule(df.repartition(5), F.col("n"), keep=("doc_id",), block_tokens=64)
+    assert again.orderBy("slot", "block_from").collect() == got
+
+
+def test_pipeline_mix_is_in_slot_order(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    pieces = mix_schedule(docs, token_count(F.col("text")), keep=("doc_id",)).orderBy("slot", "block_from").collect()
+    want = [r.doc_id for r in pieces if r.doc_from == 0 and 2 * r.read >= r["size"]]
+    stage = dict(STAGES)["mix_sources"]
+    assert [r.doc_id for r in stage(spark, docs, sf_dir).collect()] == want
+
+
 def test_targets_stop_at_three_times_a_source(spark):
     rows = [("a", 1), ("b", 1000), ("c", 10), (None, 500), ("", 0)]
     got = source_targets(spark.createDataFrame(rows, "source string, source_size long"))
