@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dunlin.llm.shingles import shingle_sets, word_codes
+from dunlin.session import materialize
 
 LABELLED = 2048  # labelled rows of either class that are voted with: the bound of the fit
 WORDS = 2048  # buckets of the hashed words
@@ -110,8 +111,10 @@ def _latent_basis(rows: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
 class NeighbourModel:
     """Labelled latent vectors, the projection and the word rarities: bounded in size."""
 
-    def __init__(self, rarity: np.ndarray, terms: np.ndarray, labels: np.ndarray):
+    def __init__(self, rarity: np.ndarray, terms: np.ndarray, labels: np.ndarray, says: np.ndarray | None = None):
+        """``says`` is how many labelled rows each of these stands for; 1 if absent."""
         self.rarity, self.labels = rarity, labels.astype(np.float32)
+        self.says = np.ones(len(labels)) if says is None else says
         self.basis = _latent_basis(terms, LATENT) if len(terms) else np.zeros((WIDTH, 1), np.float32)
         self.vectors = _unit(terms @ self.basis)
 
@@ -123,6 +126,7 @@ class NeighbourModel:
         k = min(NEIGHBOURS, cosine.shape[1])
         near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
         weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 1e-3).astype(np.float64) ** SHARPNESS
+        weight *= self.says[near]
         return np.clip((weight * self.labels[near]).sum(axis=1) / weight.sum(axis=1), 0.0, 1.0)
 
 
@@ -135,13 +139,18 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = LABELLED) -
     """Fit on at most ``per_class`` labelled rows of either quality, chosen by a hash of the id.
 
     ``docs`` has ``doc_id, text``, ``labels`` has ``doc_id, quality``. Null ids and labels and
-    held-out rows are left out. Word rarities come from all documents. Texts are not shuffled:
-    the chosen ids go to the tasks.
+    held-out rows are left out, and labels without a document, before any are chosen. A chosen row
+    votes for as many as its class has labelled rows per chosen one, so the bound does not
+    change the share of a class. Word rarities come from all documents. Texts are not shuffled:
+    ids are, and the chosen ids go to the tasks.
     """
     texts = docs.select(F.col("text").cast("string").alias("text"))
     rarity = document_rarity(texts)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     known = known.where(~held_out() & F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).distinct()
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
+    known = materialize(known.join(ids, "doc_id", "left_semi"), "labelled")
+    counted = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}  # 2 rows
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = [r for q in (0, 1) for r in known.where(F.col("quality") == q).orderBy(*order).limit(per_class).collect()]
     if not chosen:
@@ -160,7 +169,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = LABELLED) -
 
     found = picked.mapInArrow(terms, "doc_id long, quality int, row binary").orderBy("doc_id", "quality").collect()
     matrix = np.stack([np.frombuffer(r["row"], np.float32) for r in found]) if found else np.zeros((0, WIDTH), np.float32)
-    return NeighbourModel(rarity, matrix, np.array([r["quality"] for r in found]))
+    voters = np.array([r["quality"] for r in found])
+    says = np.ones(len(voters))
+    for q, n in counted.items():
+        says[voters == q] = n / max(1, (voters == q).sum())
+    return NeighbourModel(rarity, matrix, voters, says)
 
 
 def score_quality(docs: DataFrame, model: NeighbourModel, text_col: str = "text") -> DataFrame:

@@ -149,6 +149,17 @@ def test_mix_schedule_is_balanced_and_whole(spark):
     assert again.orderBy("slot", "block_from").collect() == got
 
 
+def test_quality_bound_counts_labels_with_documents(spark):
+    learned = [i for i in range(3000) if not brute.held_out(i)]
+    labels = [(i, int(i % 4 > 0)) for i in learned]
+    docs = spark.createDataFrame([(i, "one and the same text") for i in learned[-400:]], "doc_id long, text string")
+    model = fit_quality(docs, spark.createDataFrame(labels, "doc_id long, quality int"), per_class=5)
+    # Labels without a document take no places, and votes keep the shares of all 400.
+    assert sorted(model.labels.tolist()) == [0] * 5 + [1] * 5
+    ones = sum(q for _, q in labels[-400:])
+    assert model.scores([b"one and the same text"])[0] == pytest.approx(ones / 400)
+
+
 def test_pipeline_mix_is_in_slot_order(spark):
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
