@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from dunlin.cluster.assign import CenterModel
-from dunlin.cluster.kmeans import Fit, label_rows, new_fit, run_fits, seed_rows
+from dunlin.cluster.kmeans import Fit, label_rows, run_fits, spread_centers, spreads
 from dunlin.features.scaling import apply_scale, fit_minmax
 from dunlin.operators.joins import lookup_join
 from dunlin.operators.neighbors import vector_of
@@ -73,15 +73,17 @@ def gmeans(
         F.col(row_id).cast("long").alias("row"), F.lit(0).alias("grp"), vector_of(*features).alias("v")
     )
     rows = materialize(widen(rows), "rows")
-    first = new_fit(0, seed_rows(rows, seed)[0], min(2, max_clusters), seed=seed, max_iter=max_iter)
-    fit = run_fits(rows, [first])[0]
+    scale_of = spreads(rows, len(features))[0]
+    start = spread_centers(rows, min(2, max_clusters), seed)[0]
+    fit = run_fits(rows, [Fit(0, start, max_iter=max_iter, scale=scale_of)])[0]
     while len(fit.centers) < max_clusters:
         placed = materialize(
             label_rows(rows, [{0: fit}]).select("row", F.col("labels")[0].alias("grp"), "v"), "split"
         )
-        samples = seed_rows(placed, seed)
-        big = [c for c in samples if fit.sizes[c] > 2 and len(np.unique(samples[c], axis=0)) > 1]
-        halves = run_fits(placed, [new_fit(c, samples[c], 2, seed=seed, max_iter=max_iter) for c in big])
+        starts, own = spread_centers(placed, 2, seed), spreads(placed, len(features))
+        # A cluster whose rows are all equal has one starting center.
+        big = [c for c in sorted(starts) if fit.sizes[c] > 2 and len(starts[c]) > 1]
+        halves = run_fits(placed, [Fit(c, starts[c], max_iter=max_iter, scale=own[c]) for c in big])
         halves = {h.grp: h for h in halves if (h.centers[0] != h.centers[1]).any()}
         split = _rejected(placed, halves)
         centers, room = [], max_clusters - len(fit.centers)
@@ -93,7 +95,7 @@ def gmeans(
                 centers.append(fit.centers[c])
         if len(centers) == len(fit.centers):
             break
-        fit = run_fits(rows, [Fit(0, np.array(centers), max_iter=max_iter, scale=first.scale)])[0]
+        fit = run_fits(rows, [Fit(0, np.array(centers), max_iter=max_iter, scale=scale_of)])[0]
     labelled = label_rows(rows, [{0: fit}]).select("row", F.col("labels")[0].alias(CLUSTER))
     return CenterModel(features, scale, fit.centers), labelled
 

@@ -222,6 +222,21 @@ def test_clusterings_find_blobs(spark):
     assert same_partition([(r.row, r.clusterId) for r in rows.collect()])
 
 
+def test_few_far_rows_beside_many_equal_ones_are_found(spark):
+    rows = spark.range(20_000).select("id", F.when(F.col("id") < 3, F.col("id") + 90.0).otherwise(1.0).alias("x"))
+    _, labelled = gmeans(rows.withColumn("y", F.lit(0.0)), "id", ["x", "y"])
+    far = {r.clusterId for r in labelled.where("row < 3").collect()}
+    most = {r.clusterId for r in labelled.where("row >= 3").select("clusterId").distinct().collect()}
+    assert len(most) == 1 and not far & most
+
+
+def test_spread_centers_weighs_all_rows(spark):
+    rows = spark.range(6000).selectExpr("id AS row", "0 AS grp", "array(CASE WHEN id = 7 THEN 5D ELSE 1D END) AS v")
+    assert sorted(kmeans.spread_centers(rows, 3, 42)[0][:, 0]) == [1.0, 5.0]
+    heavy = rows.withColumn("w", F.when(F.col("row") == 7, 1e12).otherwise(1.0))
+    assert kmeans.spread_centers(heavy, 1, 42)[0][0, 0] == 5.0
+
+
 def test_grid_and_auto_choice(spark):
     rng = np.random.default_rng(6)  # rows mixed, since folds are contiguous
     x = np.concatenate([rng.normal(c, 0.3, size=(60, 2)) for c in ((0, 0), (6, 0), (0, 6))])
