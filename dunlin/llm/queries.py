@@ -12,10 +12,13 @@ from dunlin.llm.ann import nearest_neighbours
 from dunlin.llm.bpe import SharedCodec, decode_ids, encode_texts
 from dunlin.llm.chat import format_chat, read_chat
 from dunlin.llm.license_scan import license_scan
+from dunlin.llm.merkle import lowered, merkle_manifest
 from dunlin.llm.mixing import mix_sources, token_count
 from dunlin.llm.ngram_join import ngram_jaccard_components
+from dunlin.llm.period_runs import periodic_runs
 from dunlin.llm.quality_classifier import fit_quality, held_out, score_quality
 from dunlin.llm.quality_rules import quality_rules
+from dunlin.llm.simhash import simhash_components
 from dunlin.llm.url_rules import url_verdicts
 from dunlin.llm.warc import read_warc, write_warc
 from dunlin.session import new_path
@@ -126,3 +129,61 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``, the words of every tenth document (by CRC-32 of its id) repeated from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    planted = F.expr(
+        "array_join(transform(words, (w, i) -> if(i < a, w, words[int(a + (i - a) % (1 + (n - a) div (3 + g % 8)))])), ' ')"
+    )
+    chosen = docs.select("doc_id", "text", F.coalesce(h % 10 == 0, F.lit(False)).alias("chosen"), F.floor(h / 10).alias("g"))
+    chosen = chosen.withColumn("words", F.when(F.col("chosen"), words)).withColumn("n", F.size("words"))
+    chosen = chosen.withColumn("a", F.expr("if(n > 0, g % n, 0)"))
+    return chosen.select("doc_id", F.when(F.col("chosen"), planted).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op11_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of periodic words in every document, and the text without their repeats."""
+    found = periodic_runs(planted_repeats(table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r.alias("run"))))["run"]
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query()
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and the root that its altered text leads to."""
+    docs = table(spark, sf_dir, "documents")
+    altered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    text = F.when(altered, lowered(F.col("text"))).otherwise(F.col("text"))
+    found = merkle_manifest(docs, "doc_id", "lang", ("doc_id", "source", "lang", "n_chars", "text"), {"text": text})
+    proof = F.array_join(F.transform("steps", lambda s: F.concat(s["left"], s["right"])), "")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(proof.cast("binary"), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+@query()
+def op13_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of every document and its component; the tests hold it against brute force."""
+    found = simhash_components(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import xxhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SMALL = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -169,3 +170,114 @@ def nearest(rows, every=20, k=20):
 
 def held_out(doc_id):
     return zlib.crc32(str(doc_id).encode()) % 5 == 0
+
+
+def planted(doc_id, words):
+    if doc_id is None or not words:
+        return words
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if h % 10:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[a + (i - a) % p] if i >= a else words[i] for i in range(n)]
+
+
+def runs(w):
+    """``[(start, length, period)]`` of a list of words, and the words kept."""
+    n, spans = len(w), {}
+    ids = np.unique(np.array(w, object), return_inverse=True)[1] if w else np.zeros(0, int)
+    for q in range(1, n // 4 + 1):
+        same = np.concatenate([[False], ids[:-q] == ids[q:], [False]])
+        ends = np.flatnonzero(same[1:] != same[:-1])
+        for start, stop in zip(ends[::2].tolist(), ends[1::2].tolist()):
+            length = stop - start + q
+            if length >= max(6, 4 * q):
+                spans.setdefault((start, length), q)
+    found = sorted((s, length, q) for (s, length), q in spans.items())
+    dropped = {i for s, length, q in found for i in range(s + q, s + length)}
+    return found, [x for i, x in enumerate(w) if i not in dropped]
+
+
+def run_row(doc_id, text):
+    found, kept = runs(planted(doc_id, words(text)))
+    best = max(found, key=lambda r: (r[1], -r[0], -r[2]), default=(None, None, None))
+    milli = best[1] * 1000 // best[2] if found else None
+    lines = "".join("%d,%d,%d\n" % r for r in found)
+    sha = [hashlib.sha256(x.encode()).hexdigest() for x in (lines, " ".join(kept))]
+    return (doc_id, len(found), *best, milli, *sha)
+
+
+def merkle(rows):
+    """Rows of the manifest of ``(doc_id, source, lang, n_chars, text)``, sorted."""
+
+    def sha(x):
+        return hashlib.sha256(x.encode()).hexdigest()
+
+    def leaf(row):
+        return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+    def tree(leaves):
+        """Root, and for each leaf its list of siblings before and after."""
+        paths, spots, level = [[] for _ in leaves], list(range(len(leaves))), leaves
+        while len(level) > 1:
+            for i, at in enumerate(spots):
+                run = level[at // 8 * 8 : at // 8 * 8 + 8]
+                paths[i].append((run[: at % 8], run[at % 8 + 1 :]))
+                spots[i] = at // 8
+            level = [sha("".join(level[i : i + 8])) for i in range(0, len(level), 8)]
+        return level[0], paths
+
+    groups = collections.defaultdict(list)
+    for r in rows:
+        groups[r[2]].append((r[0] is not None, r[0] or 0, leaf(r), r))
+    order = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    built = {g: (sorted(groups[g], key=lambda x: x[:3]),) for g in order}
+    built = {g: (held, *tree([x[2] for x in held])) for g, (held,) in built.items()}
+    root, above = tree([built[g][1] for g in order]) if order else (None, [])
+    out = []
+    for g, last in zip(order, above):
+        held, subroot, paths = built[g]
+        for (_, _, own, r), path in zip(held, paths):
+            at = own
+            if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 3 == 0 and r[4] is not None:
+                at = leaf((*r[:4], r[4].translate(SMALL)))
+            for left, right in path + last:
+                at = sha("".join([*left, at, *right]))
+            proof = sha("".join("".join(left + right) for left, right in path + last))
+            out.append((r[0], own, subroot, root, proof, at, at == root))
+    return sorted(out, key=lambda r: tuple((x is None, x) for x in r))
+
+
+def simhash(text):
+    w = words((text or "").translate(SMALL))
+    grams = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] or ([" ".join(w)] if w else [])
+    ones = [0] * 64
+    for g in grams:
+        h = xxhash.xxh64_intdigest(g.encode(), 42)
+        for b in range(64):
+            ones[b] += h >> b & 1
+    return sum(1 << b for b in range(64) if 2 * ones[b] > len(grams))
+
+
+def simhash_components(rows, radius=2):
+    """``[(id, fingerprint, component_id)]`` sorted, of rows ``(id, text)``."""
+    codes = np.array([simhash(t) for _, t in rows], np.uint64)
+    up = list(range(len(rows)))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in np.flatnonzero(np.bitwise_count(codes[:i] ^ codes[i]) <= radius):
+            a, b = find(i), find(int(j))
+            up[max(a, b)] = min(a, b)
+    least = {}
+    for i, (doc, _) in enumerate(rows):
+        if doc is not None:
+            least[find(i)] = min(doc, least.get(find(i), doc))
+    key = lambda r: tuple((x is None, x) for x in r)
+    return sorted(((doc, f"{int(codes[i]):016x}", least.get(find(i))) for i, (doc, _) in enumerate(rows)), key=key)

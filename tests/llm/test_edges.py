@@ -14,11 +14,14 @@ from dunlin.llm.ann import CentroidGraph, nearest_neighbours
 from dunlin.llm.bpe import Codec, SharedCodec, decode_ids, encode_texts, read_ranks
 from dunlin.llm.chat import format_chat, read_chat
 from dunlin.llm.license_scan import license_scan, rules
+from dunlin.llm.merkle import merkle_manifest
 from dunlin.llm.mixing import mix_schedule, mix_sources, source_targets, token_count
 from dunlin.llm.ngram_join import ngram_jaccard_components
+from dunlin.llm.period_runs import find_runs, periodic_runs
 from dunlin.llm.quality_classifier import fit_quality, score_quality
 from dunlin.llm.quality_rules import quality_rules
 from dunlin.llm.shingles import CHUNK, shingle_sets, word_codes
+from dunlin.llm.simhash import BKTrees, near_links, simhash_components
 from dunlin.llm.url_rules import RULES, ShiftAnd, url_verdicts
 from dunlin.llm.warc import read_warc, write_warc
 from dunlin.session import materialize, new_path
@@ -356,3 +359,110 @@ def test_pipeline_stages(spark):
         if name == "ngram_jaccard_join":
             rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
             assert all(i == c for i, _, c in brute.components(rows))
+
+
+def test_find_runs_in_small_alphabets():
+    rng = random.Random(8)
+    texts = [[], [b"a"] * 5, [b"a"] * 6, [b"a"] * 97, [b"a", b"b"] * 4, [b"x"]]
+    for size in (1, 2, 3):
+        for _ in range(150):
+            block = rng.choices([b"a", b"b", b"c"][:size], k=rng.randint(1, 9))
+            texts.append(rng.choices(block, k=rng.randint(0, 6)) + block * rng.randint(1, 9) + rng.choices(block, k=rng.randint(0, 30)))
+    bounds = np.append(0, np.cumsum([len(t) for t in texts]))
+    owner, *spans = find_runs(np.array([hash(w) for t in texts for w in t]), bounds)
+    got = [[] for _ in texts]
+    for i, *span in zip(owner.tolist(), *(s.tolist() for s in spans)):
+        got[i].append(tuple(span))
+    assert got == [brute.runs(t)[0] for t in texts]
+
+
+def test_period_runs(spark):
+    df, rows = frame(spark, 9)
+    rng = random.Random(9)
+    for _ in range(30):
+        block = rng.choices(["a", "b", "c", "D"], k=rng.randint(1, 30))
+        rows.append((rng.randrange(99), "\n".join(block * rng.randint(1, 7) + ["end"] * rng.randint(0, 8)), "s", "k", "q", "w"))
+    df = spark.createDataFrame(rows, KIND)
+    got = periodic_runs(df.withColumn("runs", F.lit(1))).collect()
+    want = [(r[0], *brute.runs(brute.words(r[1])), len(brute.words(r[1]))) for r in rows]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
+    found = [(r.id, r.n_words, [tuple(x) for x in r.runs], r.collapsed) for r in got]
+    assert sorted(found, key=key) == sorted(((i, n, f, " ".join(k)) for i, f, k, n in want), key=key)
+    assert periodic_runs(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("langs", [1, 3, 70])
+def test_merkle_manifest(spark, langs):
+    df, rows = frame(spark, 10)
+    names = [None, "", "-", "\u00e9", "z"] + [f"l{i}" for i in range(70)]
+    rng = random.Random(langs)
+    rows = [(r[0], rng.choice(["s", None]), rng.choice(names[:langs]), rng.choice([None, len(r[1] or "")]), r[1], "x") for r in rows * 9]
+    df = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars int, text string, tree string")
+    altered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).otherwise(F.col("text"))
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    got = merkle_manifest(df.withColumns({"pos": F.lit(1), "steps": F.lit(2)}), "doc_id", "lang", fields, {"text": altered})
+    found = []
+    for r in got.collect():
+        proof = "".join(s["left"] + s["right"] for s in r.steps)
+        found.append((r.id, r.leaf, r.subroot, r.root, brute.hashlib.sha256(proof.encode()).hexdigest(), r.folded_root, r.folded_root == r.root))
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(found, key=key) == brute.merkle([r[:5] for r in rows])
+    if langs == 1:
+        assert merkle_manifest(df.limit(0), "doc_id", "lang", fields).count() == 0
+        one = merkle_manifest(df.limit(1), "doc_id", "lang", fields).collect()
+        assert len(one) == 1 and one[0].leaf == one[0].root == one[0].folded_root and one[0].steps == []
+
+
+def test_bk_trees_find_all_near_codes():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 40).astype(np.uint64)
+    near = base[rng.integers(0, 40, 600)] ^ (np.uint64(1) << rng.integers(0, 64, 600).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 600).astype(np.uint64))
+    codes = np.unique(np.concatenate([base, near, [np.uint64(0), np.uint64(2**64 - 1)]])).view(np.int64)
+    shard = np.sort(rng.integers(0, 5, len(codes)))
+    trees = BKTrees(codes, shard)
+    roots = trees.roots[np.searchsorted(shard[trees.roots], shard)]
+    who, at = trees.near(codes, roots, 2)
+    gap = np.bitwise_count(codes[:, None] ^ codes[None, :])
+    want = {(int(i), int(j)) for i, j in zip(*np.nonzero((gap <= 2) & (shard[:, None] == shard[None, :])))}
+    assert set(zip(who.tolist(), at.tolist())) == want and len(who) == len(want)
+
+
+@pytest.mark.parametrize("most", [3, 40, 4096])
+def test_simhash_links_of_hot_shards(spark, most):
+    rng = np.random.default_rng(4)
+    codes = {0, -1}
+    for b in rng.integers(-(2**63), 2**63, 6).tolist():
+        for _ in range(60):  # a dense ball, so that shards stay large deal after deal
+            flip = 0
+            for bit in rng.choice([1, 2, 3, 40, 41, 62, 63], 3).tolist():
+                flip ^= 1 << int(bit)
+            codes.add(int(np.uint64(b & (2**64 - 1) ^ flip).view(np.int64)))
+    codes = sorted(codes)
+    found = near_links(spark.createDataFrame([(c,) for c in codes], "fp long"), 2, most).collect()
+    up = {c: c for c in codes}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in found:
+        up[find(a)] = find(b)
+    same = {c: find(c) for c in codes}
+    plain = np.array(codes).view(np.uint64)
+    group = list(range(len(codes)))
+    for i, j in zip(*np.nonzero(np.bitwise_count(plain[:, None] ^ plain[None, :]) <= 2)):
+        x, y = group[i], group[j]
+        if x != y:
+            group = [x if g == y else g for g in group]
+    assert len(set(same.values())) == len(set(group))
+    assert len({(same[c], g) for c, g in zip(codes, group)}) == len(set(group))
+
+
+def test_simhash(spark):
+    df, rows = frame(spark, 11)
+    got = simhash_components(df.withColumn("fp", F.lit(1))).collect()
+    key = lambda r: tuple((x is None, x) for x in r)
+    found = sorted(((r.id, f"{r.fp & (2**64 - 1):016x}", r.component_id) for r in got), key=key)
+    assert found == brute.simhash_components([r[:2] for r in rows])
+    assert simhash_components(df.limit(0)).count() == 0

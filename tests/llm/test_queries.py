@@ -148,6 +148,23 @@ def test_byte_bpe(spark, docs):
         assert got[d].decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
 
 
+def test_period_runs(spark, docs):
+    got = QUERIES["op11_period_runs"](spark, SF_DIR).collect()
+    assert sorted(map(tuple, got)) == sorted(brute.run_row(d, t) for d, t, _ in docs)
+
+
+def test_merkle_manifest(spark):
+    rows = [tuple(r) for r in read(spark, "documents").select("doc_id", "source", "lang", "n_chars", "text").collect()]
+    got = QUERIES["op12_merkle_manifest"](spark, SF_DIR).collect()
+    assert sorted(map(tuple, got)) == brute.merkle(rows)
+    assert len({r.root for r in got}) == 1 and {r.verified for r in got} == {True, False}
+
+
+def test_simhash(spark, docs):
+    got = QUERIES["op13_simhash_components"](spark, SF_DIR).collect()
+    assert sorted(map(tuple, got)) == brute.simhash_components([(d, t) for d, t, _ in docs])
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_equals_sql(spark, name):
     assert compare(connect(SF_DIR), QUERIES[name](spark, SF_DIR), SQL[name])[0] == ""
