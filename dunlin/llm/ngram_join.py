@@ -14,8 +14,9 @@ formed whole:
   their whole overlap from the full rows, which are sent for such rows only.
 * A column of many rows is not multiplied out. Its rows meet one pivot row first;
   rows that link join its component; only rows of different components are then
-  paired, in blocks of rows. Links inside a component that is already known change
-  nothing in the answer.
+  multiplied, in blocks of whole rows. A task accumulates the overlaps of two blocks and
+  returns a spanning forest of the links it finds, at most one row per component, never
+  the pairs. Links inside a component that is already known change nothing in the answer.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dunlin.cluster.components import connected_components
+from dunlin.llm.forest import Forest
 from dunlin.llm.shingles import set_key, shingle_sets
 from dunlin.operators.joins import salted_join
 from dunlin.session import materialize
@@ -36,8 +38,9 @@ from dunlin.session import materialize
 ZONE = 0.3  # share of the hash range in which frequencies are counted
 ROUNDS = 2  # pivot rounds before rows of different components are paired
 SHORT = 64  # columns of more rows are multiplied in blocks
-BLOCK = 1024  # rows of such a block
-BUCKETS = 128  # counts that stand for a row inside a block
+BLOCK = 4096  # rows of such a block, on average at most
+CELLS = 1 << 19  # shingles of such a block, on average at most
+PART = 256, 2048  # rows and columns multiplied at a time
 SEEN = 1 << 20  # sets that a task remembers, so as to send copies once
 FILTER_BITS = 28  # the broadcast filter has at most 2 ** 28 bits, 32 MB
 
@@ -177,7 +180,7 @@ def _row_filter(keys: DataFrame) -> np.ndarray:
 
 
 def _full_rows(texts: DataFrame, keys: DataFrame, size: int) -> DataFrame:
-    """Whole rows ``key, cells`` of the rows in ``keys``, with ``counts`` by bucket.
+    """Whole rows ``key, cells`` of the rows in ``keys``.
 
     A broadcast bitmap keeps back most rows nobody asked for; the join drops the rest.
     """
@@ -192,13 +195,13 @@ def _full_rows(texts: DataFrame, keys: DataFrame, size: int) -> DataFrame:
                     key = set_key(s)
                     slot = key % (len(bits) * 8)
                     if bits[slot >> 3] >> (7 - (slot & 7)) & 1 and _fresh(key, seen):
-                        found.append((key, s.tobytes(), _bucket_counts(s)))
+                        found.append((key, s.tobytes()))
             for i in range(0, len(found), 1000):
-                key, cells, counts = (pa.array(c, t) for c, t in zip(zip(*found[i : i + 1000]), types))
-                yield pa.RecordBatch.from_arrays([key, cells, counts], ["key", "cells", "counts"])
+                key, cells = (pa.array(c, t) for c, t in zip(zip(*found[i : i + 1000]), types))
+                yield pa.RecordBatch.from_arrays([key, cells], ["key", "cells"])
 
-    types = (pa.int64(), pa.binary(), pa.binary())
-    found = texts.mapInArrow(rows, "key long, cells binary, counts binary")
+    types = (pa.int64(), pa.binary())
+    found = texts.mapInArrow(rows, "key long, cells binary")
     return found.join(keys, "key", "left_semi").dropDuplicates(["key"])
 
 
@@ -277,68 +280,105 @@ def _short_column_pairs(mixed: DataFrame, percent: int) -> DataFrame:
     return met.select(F.least("a_key", "b_key").alias("a"), F.greatest("a_key", "b_key").alias("b")).distinct()
 
 
-def _long_column_pairs(mixed: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of rows of different components in columns of more than ``SHORT`` rows.
+class _Side:
+    """Rows of a block in order of size, their shingles as numbers shared with the other side."""
 
-    The rows of a column are cut into blocks; a task multiplies two blocks of bucket
-    counts. ``sum(min(x, y))`` over the buckets is at least the overlap of two rows, so
-    pairs below the bound of their sizes are discarded there and never leave the task.
+    def __init__(self, pdf: pd.DataFrame):
+        sizes = pdf["cells"].map(len).to_numpy() // 8
+        order = np.argsort(sizes, kind="stable")
+        self.sizes, self.comp = sizes[order], pdf["comp"].to_numpy()[order]
+        self.cells = np.frombuffer(b"".join(pdf["cells"].to_numpy()[order]), np.uint64)
+        self.row = np.repeat(np.arange(len(order)), self.sizes)
+
+    def keep(self, columns: np.ndarray) -> None:
+        """Number the shingles by their place in ``columns``; others cannot add to an overlap."""
+        at = np.searchsorted(columns, self.cells)
+        at[at == len(columns)] = 0
+        shared = columns[at] == self.cells if len(columns) else np.zeros(len(at), bool)
+        self.row, self.column = self.row[shared], at[shared]
+        self.starts = np.searchsorted(self.row, np.arange(len(self.sizes) + 1))
+
+    def dense(self, low: int, high: int, first: int, width: int) -> np.ndarray:
+        part = slice(self.starts[low], self.starts[high])
+        row, column = self.row[part] - low, self.column[part] - first
+        inside = (column >= 0) & (column < width)
+        out = np.zeros((high - low, width), np.float32)
+        out[row[inside], column[inside]] = 1
+        return out
+
+
+def linked_components(left: pd.DataFrame, right: pd.DataFrame, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of components joined by links of a smaller row of ``left`` and a larger one of ``right``.
+
+    Both have ``cells`` and ``comp``. Overlaps are sums of products of 0/1 blocks; rows whose
+    sizes are too far apart are not multiplied.
+    """
+    x, y = _Side(left), _Side(right)
+    shared = np.intersect1d(x.cells, y.cells)
+    x.keep(shared)
+    y.keep(shared)
+    names, comp = np.unique(np.concatenate([x.comp, y.comp]), return_inverse=True)
+    x_comp, y_comp = comp[: len(x.comp)], comp[len(x.comp) :]
+    forest = Forest(len(names))
+    rows, width = PART
+    for low in range(0, len(x.sizes), rows):
+        high = min(low + rows, len(x.sizes))
+        near = np.searchsorted(y.sizes, x.sizes[low]), np.searchsorted(y.sizes, 100 * x.sizes[high - 1] // percent, side="right")
+        if near[0] >= near[1]:
+            continue
+        overlap = np.zeros((high - low, near[1] - near[0]), np.float32)
+        for first in range(0, len(shared), width):
+            overlap += x.dense(low, high, first, width) @ y.dense(*near, first, width).T
+        overlap = overlap.astype(np.int64)
+        n, m = x.sizes[low:high, None], y.sizes[None, slice(*near)]
+        fit = (n <= m) & (100 * overlap >= percent * (n + m - overlap))
+        i, j = np.nonzero(fit)
+        forest.link(x_comp[low:high][i], y_comp[slice(*near)][j])
+    a, b = forest.edges()
+    return names[a], names[b]
+
+
+def _long_column_links(mixed: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Components ``a, b`` linked by rows of columns of more than ``SHORT`` rows.
+
+    The rows of a column are cut into blocks by number and by shingles; a task multiplies two
+    blocks of whole rows and returns fewer rows than the components that meet in it.
     """
 
     def product(pdf: pd.DataFrame) -> pd.DataFrame:
         left, right = (pdf[pdf["side"] == i] for i in (0, 1))
-        out = pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
-        if not len(left) or not len(right):
-            return out
-        y = _counts(right)
-        m, key, comp = y.sum(axis=1, dtype=np.int64), right["key"].to_numpy(), right["comp"].to_numpy()
-        found = [out]
-        for at in range(0, len(left), 16):
-            part = left.iloc[at : at + 16]
-            x = _counts(part)
-            most = np.minimum(x[:, None, :], y[None, :, :]).sum(axis=2, dtype=np.int64)
-            n = x.sum(axis=1, dtype=np.int64)
-            total = n[:, None] + m[None, :]
-            fit = (n[:, None] <= m[None, :]) & (part["comp"].to_numpy()[:, None] != comp[None, :])
-            i, j = np.nonzero(fit & ((100 + percent) * most >= percent * total))
-            found.append(pd.DataFrame({"a": part["key"].to_numpy()[i], "b": key[j]}))
-        return pd.concat(found)
+        a, b = linked_components(left, right, percent) if len(left) and len(right) else (np.empty(0, np.int64),) * 2
+        return pd.DataFrame({"a": a, "b": b})
 
     many = _sided(mixed.where(F.col("rows") > SHORT))
     inner_minor, inner_main = F.col("inner") & F.col("minor"), F.col("inner") & ~F.col("minor")
+
+    def blocks(chosen):
+        n = F.greatest(F.count_if(chosen) / BLOCK, F.sum(F.when(chosen, F.col("n"))) / CELLS)
+        return F.greatest(F.ceil(F.coalesce(n, F.lit(0))), F.lit(1)).cast("int")
+
     sums = many.groupBy("column").agg(
-        F.count_if(inner_minor).alias("l0"), F.count_if(inner_main).alias("l1"),
-        F.count("*").alias("r0"), F.count_if("minor").alias("r1"),
+        blocks(inner_minor).alias("l0"), blocks(inner_main).alias("l1"),
+        blocks(F.lit(True)).alias("r0"), blocks(F.col("minor")).alias("r1"),
     )
     many = many.join(sums, "column")
 
-    def blocks(first: str, second: str):
-        held = F.when(F.col("case") == 0, F.col(first)).otherwise(F.col(second))
-        return F.greatest(F.ceil(held / BLOCK), F.lit(1)).cast("int")
+    def held(first: str, second: str):
+        return F.when(F.col("case") == 0, F.col(first)).otherwise(F.col(second))
 
     # Inner minor rows meet all rows; inner rows of the main component meet the minor ones.
     left = many.where("inner").withColumn("case", F.when(F.col("minor"), 0).otherwise(1))
     both = F.array(F.lit(0), F.lit(1))
     right = many.withColumn("case", F.explode(F.when(F.col("minor"), both).otherwise(F.slice(both, 1, 1))))
     spread = F.xxhash64("key")
-    left = left.withColumns({"side": F.lit(0), "lb": F.pmod(spread, blocks("l0", "l1")).cast("int")})
-    left = left.withColumn("rb", F.explode(F.sequence(F.lit(0), blocks("r0", "r1") - 1)))
-    right = right.withColumns({"side": F.lit(1), "rb": F.pmod(spread, blocks("r0", "r1")).cast("int")})
-    right = right.withColumn("lb", F.explode(F.sequence(F.lit(0), blocks("l0", "l1") - 1)))
+    left = left.withColumns({"side": F.lit(0), "lb": F.pmod(spread, held("l0", "l1")).cast("int")})
+    left = left.withColumn("rb", F.explode(F.sequence(F.lit(0), held("r0", "r1") - 1)))
+    right = right.withColumns({"side": F.lit(1), "rb": F.pmod(spread, held("r0", "r1")).cast("int")})
+    right = right.withColumn("lb", F.explode(F.sequence(F.lit(0), held("l0", "l1") - 1)))
     task = ["column", "case", "lb", "rb"]
     sent = left.select(*task, "side", "key", "comp").unionByName(right.select(*task, "side", "key", "comp"))
-    met = sent.join(rows.select("key", "counts"), "key").groupBy(*task).applyInPandas(product, "a long, b long")
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def _counts(pdf: pd.DataFrame) -> np.ndarray:
-    return np.stack([np.frombuffer(c, np.uint32) for c in pdf["counts"]])
-
-
-def _bucket_counts(shingles: np.ndarray) -> bytes:
-    """How many shingles fall into each of ``BUCKETS`` buckets."""
-    held = np.bincount((shingles & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
-    return held.astype(np.uint32).tobytes()
+    met = sent.join(rows, "key").groupBy(*task).applyInPandas(product, "a long, b long")
+    return met.distinct()
 
 
 def ngram_jaccard_components(
@@ -368,15 +408,16 @@ def ngram_jaccard_components(
     if keys.limit(1).count():
         rows = materialize(_full_rows(texts, keys, size), "ngram-rows")
         nodes = keys.select(F.col("key").alias("node"))
-        for turn in range(ROUNDS + 1):
+        for turn in range(ROUNDS + 2):
             mixed = materialize(_mixed_columns(prefix, components), "ngram-mixed")
             if not mixed.limit(1).count():
                 break
             if turn < ROUNDS:
                 new = _linked(_pivot_pairs(mixed, turn, percent), rows, percent)
+            elif turn == ROUNDS:
+                new = _long_column_links(mixed, rows, percent)
             else:
-                pairs = _short_column_pairs(mixed, percent).unionByName(_long_column_pairs(mixed, rows, percent))
-                new = _linked(pairs.distinct(), rows, percent)
+                new = _linked(_short_column_pairs(mixed, percent), rows, percent)
             new = materialize(new, "ngram-links")
             if not new.limit(1).count():
                 continue
