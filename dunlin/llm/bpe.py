@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -181,14 +182,14 @@ class SharedCodec:
     """A vocabulary sent to the tasks once; its size does not depend on the texts."""
 
     def __init__(self, spark, path: str, pattern: str):
+        self.key = uuid.uuid4().hex  # an address could be used again by another vocabulary
         self.sent = spark.sparkContext.broadcast((read_ranks(path), pattern))
 
     def codec(self) -> Codec:
-        key = id(self.sent.value)
-        if key not in _CODECS:
+        if self.key not in _CODECS:
             _CODECS.clear()
-            _CODECS[key] = Codec(*self.sent.value)
-        return _CODECS[key]
+            _CODECS[self.key] = Codec(*self.sent.value)
+        return _CODECS[self.key]
 
 
 def _lists(values: list[np.ndarray]) -> pa.ListArray:
