@@ -3,7 +3,9 @@
 A text is a row of a term matrix: hashed words, weighted by their rarity over all documents,
 its bytes below 128, and a few shape numbers spread over buckets. A truncated SVD of labelled
 rows turns terms into a short vector. The labelled vectors, bounded in number, go to all
-tasks; every document meets all of them in exact blocked cosine products.
+tasks; every document meets all of them in exact blocked cosine products. Votes lean to the
+larger class; each labelled row's vote by the others shows where the classes part, and a
+monotone map moves that vote to ``CUT``.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ LABELLED = 2048  # labelled rows of either class that are voted with: the bound
 WORDS = 2048  # buckets of the hashed words
 LATENT = 48
 NEIGHBOURS = 25
+CUT = 0.3  # scores from here on are called good
 SHARPNESS = 8  # a neighbour's weight is its similarity to this power
 BLOCK = 512  # documents multiplied at a time
 
@@ -117,17 +120,57 @@ class NeighbourModel:
         self.says = np.ones(len(labels)) if says is None else says
         self.basis = _latent_basis(terms, LATENT) if len(terms) else np.zeros((WIDTH, 1), np.float32)
         self.vectors = _unit(terms @ self.basis)
+        self.cut = best_cut(self._left_out_votes(), self.labels) if len(terms) else CUT
 
-    def scores(self, texts: list[bytes | None]) -> np.ndarray:
-        if not len(self.labels):
-            return np.full(len(texts), 0.5)
-        own = _unit(_terms(texts, self.rarity) @ self.basis)
-        cosine = own @ self.vectors.T
+    def _votes(self, cosine: np.ndarray, voters: np.ndarray | None = None) -> np.ndarray:
+        """Weighted label of the nearest voters; row ``i`` of ``voters`` numbers those of row ``i``, else all vote."""
         k = min(NEIGHBOURS, cosine.shape[1])
         near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
         weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 1e-3).astype(np.float64) ** SHARPNESS
-        weight *= self.says[near]
-        return np.clip((weight * self.labels[near]).sum(axis=1) / weight.sum(axis=1), 0.0, 1.0)
+        voter = near if voters is None else np.take_along_axis(voters, near, axis=1)
+        weight *= self.says[voter]
+        return np.clip((weight * self.labels[voter]).sum(axis=1) / weight.sum(axis=1), 0.0, 1.0)
+
+    def _left_out_votes(self) -> np.ndarray:
+        """The vote on each labelled row by all the others."""
+        n = len(self.labels)
+        if n < 2:
+            return self.labels.astype(np.float64)
+        votes = np.zeros(n)
+        for at in range(0, n, BLOCK):
+            rows = np.arange(at, min(at + BLOCK, n))
+            others = np.arange(n - 1)[None, :]
+            others = others + (others >= rows[:, None])  # every number but the row's own
+            votes[rows] = self._votes(np.take_along_axis(self.vectors[rows] @ self.vectors.T, others, axis=1), others)
+        return votes
+
+    def scores(self, texts: list[bytes | None]) -> np.ndarray:
+        if not len(self.labels):
+            return np.full(len(texts), 0.5)
+        votes = self._votes(_unit(_terms(texts, self.rarity) @ self.basis) @ self.vectors.T)
+        return np.interp(votes, [0.0, self.cut, 1.0], [0.0, CUT, 1.0])
+
+
+def best_cut(votes: np.ndarray, labels: np.ndarray) -> float:
+    """The vote that parts the labels best, both classes counting alike; ``CUT`` if none is better than it.
+
+    Among equally good cuts the one in the widest gap is taken, in its middle.
+    """
+    good = labels > 0.5
+    if good.all() or not good.any():
+        return CUT
+    order = np.argsort(votes, kind="stable")
+    sorted_votes, ones = votes[order], good[order]
+    below = np.cumsum(~ones) / (~ones).sum()
+    above = 1 - np.cumsum(ones) / ones.sum()
+    gap = np.diff(sorted_votes)
+    right = np.where(gap > 0, (below + above)[:-1], 0.0)
+    now = (votes[~good] < CUT).mean() + (votes[good] >= CUT).mean()
+    if not len(right) or right.max() <= now + 1e-9:
+        return CUT
+    best = np.flatnonzero(right >= right.max() - 1e-9)
+    at = best[np.argmax(gap[best])]
+    return float(np.clip((sorted_votes[at] + sorted_votes[at + 1]) / 2, 1e-6, 1 - 1e-6))
 
 
 def held_out(id_col: str = "doc_id"):
@@ -142,7 +185,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = LABELLED) -
     held-out rows are left out, and labels without a document, before any are chosen. A chosen row
     votes for as many as its class has labelled rows per chosen one, so the bound does not
     change the share of a class. Word rarities come from all documents. Texts are not shuffled:
-    ids are, and the chosen ids go to the tasks.
+    ids are, and the chosen ids go to the tasks. Of several texts under one labelled id the
+    smallest votes. Empty tables give a model without votes.
     """
     texts = docs.select(F.col("text").cast("string").alias("text"))
     rarity = document_rarity(texts)
@@ -158,7 +202,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = LABELLED) -
     wanted = docs.sparkSession.createDataFrame(chosen, known.schema)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     picked = rows.join(F.broadcast(wanted), "doc_id")  # at most 2 * per_class rows
-    picked = picked.dropDuplicates(["doc_id", "quality"])
+    # At most a row per id and task: one text of a repeated id, the same one on every run.
+    picked = picked.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

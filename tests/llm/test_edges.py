@@ -89,6 +89,31 @@ def test_ngram_join_of_a_large_group_of_near_copies(spark):
     assert sorted(map(tuple, got.select("id", "n_shingles", "component_id").collect())) == brute.components(rows)
 
 
+def test_ngram_join_of_columns_of_many_unlinked_rows(spark, monkeypatch):
+    """Columns of a thousand rows that no pivot joins: chains of near copies, strangers with a passage in common."""
+    from dunlin.llm import ngram_join
+
+    rng = random.Random(6)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join(passage + [f"s{i}x{j}" for j in range(rng.randint(3, 60))])) for i in range(900)]
+    for c in range(8):  # each text is near the one before it only
+        words = [f"c{c}x{j}" for j in range(150)]
+        for i in range(40):
+            words = list(words)
+            for _ in range(2):
+                words[rng.randrange(150)] = f"e{rng.randrange(10**7)}"
+            rows.append((10_000 + 100 * c + i, " ".join(passage + words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute.components(rows)
+    assert 100 < len({c for _, _, c in want}) < 1000
+    for block, cells, part in ((4096, 1 << 19, (256, 2048)), (100, 1 << 19, (7, 50)), (4096, 30_000, (256, 2048))):
+        monkeypatch.setattr(ngram_join, "BLOCK", block)
+        monkeypatch.setattr(ngram_join, "CELLS", cells)
+        monkeypatch.setattr(ngram_join, "PART", part)
+        got = ngram_jaccard_components(df).select("id", "n_shingles", "component_id").collect()
+        assert sorted(map(tuple, got)) == want
+
+
 def test_quality_rules(spark):
     df, rows = frame(spark)
     got = quality_rules(df, keep=("doc_id", "text", "key")).collect()
@@ -179,6 +204,31 @@ def test_targets_stop_at_three_times_a_source(spark):
     assert {r.source: pytest.approx(r.target) for r in got.collect()} == want
 
 
+def test_quality_votes_are_calibrated():
+    """Few bad rows among many good ones: the vote that parts them becomes the cut."""
+    from dunlin.llm import quality_classifier as q
+
+    assert q.best_cut(np.array([0.5, 0.6, 0.9, 1.0]), np.array([0, 0, 1, 1])) == pytest.approx(0.75)
+    assert q.best_cut(np.array([0.1, 0.9]), np.array([0, 1])) == q.CUT  # parted already
+    assert q.best_cut(np.array([0.5, 0.5, 0.5]), np.array([0, 1, 1])) == q.CUT
+    assert q.best_cut(np.zeros(0), np.zeros(0)) == q.best_cut(np.ones(3), np.ones(3)) == q.CUT
+    rng = np.random.default_rng(2)
+    rows = np.zeros((200, q.WIDTH), np.float32)
+    rows[:, :60] = rng.random((200, 60)) * 0.4
+    labels = (np.arange(200) >= 20).astype(int)
+    rows[labels == 0, 3] += 1.2
+    model = q.NeighbourModel(np.ones(q.WORDS), rows, labels, np.ones(200))
+    plain = []
+    for i in range(200):  # the vote of the nearest others, one row at a time
+        cosine = model.vectors @ model.vectors[i]
+        near = [j for j in np.argsort(-cosine, kind="stable") if j != i][: q.NEIGHBOURS]
+        weight = np.maximum(cosine[near], 1e-3).astype(float) ** q.SHARPNESS
+        plain.append(float((weight * labels[near]).sum() / weight.sum()))
+    assert model._left_out_votes() == pytest.approx(np.array(plain), abs=1e-4)
+    cut = np.interp(plain, [0, model.cut, 1], [0, q.CUT, 1]) >= q.CUT
+    assert (cut == labels).mean() >= 0.95
+
+
 def test_quality_classifier(spark):
     df, rows = frame(spark)
     labels = [(r[0], int((r[0] or 0) % 3 > 0), 0) for r in rows] + [(None, 1, 0), (3, None, 0)]
@@ -339,6 +389,10 @@ def test_bpe_rows(spark):
     assert encode_texts(df.limit(0), codec).count() == 0
 
 
+def stage_rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple((x is None, x) for x in r))
+
+
 def test_pipeline_stages(spark):
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -346,19 +400,51 @@ def test_pipeline_stages(spark):
     extra = docs.limit(3).withColumn("doc_id", F.lit(None).cast("long")).withColumn("text", F.lit(None).cast("string"))
     docs = docs.unionByName(extra).unionByName(docs.limit(4))
     for name, stage in STAGES:
-        before = docs.count()
+        rows = stage_rows(docs.select(*columns))
         assert stage(spark, docs.limit(0), sf_dir).count() == 0, name
         docs = materialize(stage(spark, docs, sf_dir), name)
         assert docs.count() > 0
         if name != "byte_bpe":
             assert docs.columns == columns
-        if name not in ("mix_sources", "byte_bpe"):
-            assert docs.count() <= before
         if name == "quality_rules":
+            judged = quality_rules(spark.createDataFrame(rows, docs.schema), keep=tuple(columns)).collect()
+            key = lambda r: tuple((x is None, x) for x in r)
+            assert stage_rows(docs) == sorted((tuple(r[c] for c in columns) for r in judged if r.kept), key=key)
             assert all(not brute.quality(r.text)[-1] for r in docs.collect())
+        if name == "quality_classifier":
+            model = fit_quality(spark.createDataFrame(rows, docs.schema), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+            score = model.scores([(r[1] or "").encode() for r in rows])
+            assert stage_rows(docs) == [r for r, x in zip(rows, score) if x >= 0.3]
         if name == "ngram_jaccard_join":
-            rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
-            assert all(i == c for i, _, c in brute.components(rows))
+            numbered = brute.components([(i, r[1]) for i, r in enumerate(rows)])
+            groups = {}
+            for i, _, c in numbered:
+                groups.setdefault(c, []).append(rows[i])
+            left = stage_rows(docs)
+            assert len(left) == len(groups)
+            least = [min(g, key=lambda r: (r[0] is None, r[0] or 0))[0] for g in groups.values()]
+            assert sorted(r[0] for r in left) == sorted(least)
+        if name == "byte_bpe":
+            want = coder()
+            assert sorted((r.doc_id, r.n_tokens, list(r.ids)) for r in docs.collect()) == sorted(
+                (r[0], len(t), t) for r in rows for t in [want.encode_ordinary(r[1] or "")]
+            )
+            assert docs.where("not exact").count() == 0
+
+
+def test_pipeline_keeps_rows_of_one_id_apart(spark):
+    texts = [" ".join(f"{a}{i}" for i in range(60)) for a in "abcd"]
+    rows = [(1, texts[0]), (1, texts[1]), (None, texts[2]), (None, texts[3]), (None, texts[3]), (2, texts[0]), (None, ""), (3, None)]
+    docs = spark.createDataFrame([(i, t, "l", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    docs = materialize(docs)
+    stages = dict(STAGES)
+    key = lambda r: (str(r[0]), r[1] or "")
+    got = [(r.doc_id, r.text) for r in stages["ngram_jaccard_join"](spark, docs, "").collect()]
+    assert sorted(got, key=key) == sorted([*rows[:4], rows[6], rows[7]], key=key)
+    mixed = [(r.doc_id, r.text) for r in stages["mix_sources"](spark, docs, "").collect()]
+    assert sorted(mixed, key=key) == sorted(rows[:6], key=key)  # one source: each text with words once
+    coded = stages["byte_bpe"](spark, docs, "").collect()
+    assert len(coded) == len(rows) and all(r.exact for r in coded)
 
 
 def test_find_runs_in_small_alphabets():
