@@ -163,7 +163,7 @@ def op11_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(sql.MERKLE_MANIFEST)
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots and proof of every document, and the root that its altered text leads to."""
     docs = table(spark, sf_dir, "documents")

