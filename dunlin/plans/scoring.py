@@ -41,6 +41,19 @@ def silhouette(spark, sf_dir):
     return s.select(F.round("silhouette", 6).alias("silhouette"))
 
 
+@query(
+    f"WITH e AS ({_E}), p AS (SELECT a.vec_id, a.c AS own, b.c, sum(list_distance(a.v, b.v) * list_distance(a.v, "
+    "b.v)) AS d, count(*) AS n FROM e a, e b GROUP BY ALL), r AS (SELECT vec_id, max(CASE WHEN own = c THEN d / "
+    "greatest(n - 1, 1) END) AS a, min(CASE WHEN own <> c THEN d / n END) AS b, max(CASE WHEN own = c THEN n END) "
+    "AS size FROM p GROUP BY 1) SELECT round(avg(CASE WHEN size = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) "
+    "AS silhouette FROM r"
+)
+def squared_silhouette(spark, sf_dir):
+    """Silhouette with squared distances, from sums per cluster."""
+    s = scores.squared_silhouette(table(spark, sf_dir, "embeddings"), "embedding", "label")
+    return s.select(F.round("silhouette", 6).alias("silhouette"))
+
+
 @query(_CELLS + _CH + " SELECT round(v, 6) AS calinski_harabasz FROM ch")
 def calinski_harabasz(spark, sf_dir):
     s = scores.calinski_harabasz(table(spark, sf_dir, "embeddings"), "embedding", "label")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from dunlin.cluster import assign, birch, grid, kmeans, scores, spectral
 from dunlin.cluster import dbscan as density
 from dunlin.cluster.components import connected_components
+from dunlin.cluster.dbscan_grid import dbscan_grid
 from dunlin.cluster.gmeans import anderson_darling, gmeans
 from dunlin.features import customers
 from dunlin.functions import times
@@ -359,3 +360,57 @@ def test_trees_learn(spark):
     assert weights == {"x": 1.0, "c": 0.0}
     bagged = classify.BalancedBagging(classify.tree(), 2).fit(df, "id", "y", ["x"], ["c"]).transform(df)
     assert bagged.where("y <> predicted").count() == 0
+
+
+def test_dbscan_grid_equals_dbscan_per_setting(spark):
+    rng = np.random.default_rng(11)
+    x = np.concatenate([
+        rng.normal(0, 0.04, (150, 2)), rng.normal((0.3, 0.3), 0.05, (80, 2)), np.repeat([[2.0, 2.0]], 40, axis=0),
+        rng.uniform(-2, 2, (250, 2)), np.stack([np.linspace(-2, 0, 120), np.full(120, 1.5)], 1),
+        # Dense cells whose outermost rows are apart, while inner rows of a third side touch.
+        rng.uniform((3.0, 3.0), (3.05, 3.05), (30, 2)), rng.uniform((3.13, 3.0), (3.2, 3.05), (30, 2)),
+    ])
+    df, names = columns(spark, x)
+    df = df.withColumn("fold", (F.col("id") % 2).cast("int"))
+    settings = [(e, m) for m in (3, 4, 5) for e in (0.1, 0.2, 0.3)]
+    for group, compared in ((None, (2, 6)), ("fold", (0, 4, 8))):  # a plain run takes long
+        got = {r.row: r for r in dbscan_grid(df, "id", names, settings, group).collect()}
+        assert len(got) == len(x)
+        for s in compared:
+            eps, m = settings[s]
+            want = {r.row: (r.clusterId, r.core) for r in density.dbscan(df, "id", names, eps, m, group).collect()}
+            assert {i: (r.labels[s], r.core[s]) for i, r in got.items()} == want, (group, eps, m)
+    assert dbscan_grid(df.limit(0), "id", names, settings).count() == 0
+
+
+def test_dbscan_grid_measures_dense_cells_in_full(spark):
+    """Two dense cells whose outermost rows lie apart but whose inner edges touch at the larger setting only."""
+    rng = np.random.default_rng(12)
+    left = np.stack([rng.uniform(0, 0.069, 60), rng.uniform(0, 0.069, 60)], 1)
+    x = np.concatenate([left, left + [0.155, 0.01]])
+    df, names = columns(spark, x)
+    settings = [(e, 5) for e in (0.1, 0.12)]
+    got = {r.row: r.labels for r in dbscan_grid(df, "id", names, settings).collect()}
+    for s, (eps, m) in enumerate(settings):
+        assert {i: v[s] for i, v in got.items()} == {r.row: r.clusterId for r in density.dbscan(df, "id", names, eps, m).collect()}
+
+
+@pytest.mark.parametrize("most_values", [1 << 22, 9])
+def test_squared_silhouette(spark, most_values):
+    rng = np.random.default_rng(13)
+    x = rng.normal(100, 1, (90, 3))
+    labels = np.stack([rng.integers(0, 4, 90), np.where(np.arange(90) < 89, -1, 7), np.zeros(90, int), np.arange(90)], 1)
+    d = ((x[:, None] - x[None]) ** 2).sum(2)
+    want = {2: -1.0, 3: -1.0}
+    for j in (0, 1):
+        c = labels[:, j]
+        mean = np.array([[d[i, c == k].sum() / ((c == k).sum() - (c[i] == k) or 1) for k in np.unique(c)] for i in range(90)])
+        own = c[:, None] == np.unique(c)
+        a, b = mean[own], np.where(own, np.inf, mean).min(1)
+        size = np.array([(c == k).sum() for k in c])
+        want[j] = float(np.where(size == 1, 0, (b - a) / np.maximum(a, b)).mean())
+    rows = [(i, [float(v) for v in r], [int(v) for v in c]) for i, (r, c) in enumerate(zip(x, labels))]
+    df = spark.createDataFrame(rows, "id long, v array<double>, labels array<int>")
+    got = {r.labeling: r.silhouette for r in scores.squared_silhouettes(df, "v", "labels", most_values).collect()}
+    assert got == pytest.approx(want, abs=1e-9)
+    assert scores.squared_silhouettes(df.limit(0), "v", "labels").count() == 0
