@@ -414,3 +414,36 @@ def test_squared_silhouette(spark, most_values):
     got = {r.labeling: r.silhouette for r in scores.squared_silhouettes(df, "v", "labels", most_values).collect()}
     assert got == pytest.approx(want, abs=1e-9)
     assert scores.squared_silhouettes(df.limit(0), "v", "labels").count() == 0
+
+
+def test_kmeans_paths_hold_every_stop(spark):
+    rng = np.random.default_rng(14)
+    x = np.concatenate([rng.normal(0, 1, (150, 2)), rng.normal(3, 1.5, (150, 2))])
+    df = frame(spark, x).select(F.col("id").alias("row"), (F.col("id") % 2).cast("int").alias("grp"), "v")
+    starts = kmeans.parallel_starts(df, [(k, init, s) for k in (2, 5) for init in ("k-means++", "random") for s in (1, 2)], 7)
+    assert {g: [len(c) for c in own] for g, own in starts.items()} == {g: [2] * 4 + [5] * 4 for g in (0, 1)}
+    scales = kmeans.spreads(df, 2)
+    tols, limits = [1e-1, 1e-3, 1e-6], [1, 4, 60]
+    paths = [kmeans.Path(g, c, scales[g]) for g, own in starts.items() for c in own]
+    kmeans.run_paths(df, paths, tols, limits)
+    for tol, limit in ((1e-1, 60), (1e-3, 4), (1e-6, 1), (1e-6, 60)):
+        fits = [kmeans.Fit(g, c, tol, limit, scales[g]) for g, own in starts.items() for c in own]
+        for path, fit in zip(paths, kmeans.run_fits(df, fits)):
+            stop = path.stopped(tol, limit)
+            assert stop.rounds == fit.rounds and stop.cost == pytest.approx(fit.cost)
+            assert np.allclose(stop.centers, fit.centers)
+    for path in paths:  # the last stop is a fixed point of plain Lloyd
+        own = x[np.arange(len(x)) % 2 == path.grp]
+        near = kmeans.squared_to(own, path.stopped(1e-6, 60).centers).argmin(1)
+        again = np.stack([own[near == c].mean(0) for c in range(len(path.centers))])
+        assert np.allclose(again, path.stopped(1e-6, 60).centers, atol=1e-2)
+
+
+def test_parallel_starts_see_all_rows(spark):
+    """Three far rows among thousands of equal ones become candidates; fewer different rows than centers repeat one."""
+    x = np.concatenate([np.ones((6000, 2)), [[50, 50], [-60, 40], [0, -70]]])
+    df = frame(spark, x).select(F.col("id").alias("row"), F.lit(0).alias("grp"), "v")
+    found = kmeans.parallel_starts(df, [(4, "k-means++", s) for s in range(5)] + [(6, "k-means++", 9)], 3)[0]
+    for centers in found:
+        assert len({tuple(c) for c in centers}) == 4
+    assert kmeans.parallel_starts(df.limit(0), [(2, "random", 1)], 3) == {}
