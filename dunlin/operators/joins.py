@@ -42,14 +42,16 @@ def salted_join(big: DataFrame, other: DataFrame, on: Sequence[str], how: str =
     """Join in which a hot key of ``big`` is spread over as many tasks as its rows need.
 
     Rows of ``other`` are repeated for hot keys only. ``how`` is inner or left.
-    A ``big`` side that fits a single task is joined as it is.
+    A ``big`` side that fits a single task is joined as it is. Rows without a key match
+    nothing, so they are spread over as many tasks as there are.
     """
     on = list(on)
     if big.limit(TASK_ROWS + 1).count() <= TASK_ROWS:
         return big.join(other, on, how)
     hot = F.broadcast(hot_keys(big, on))  # at most MOST_HOT rows
     salts = F.coalesce("__salts", F.lit(1))
-    spread = F.pmod(F.xxhash64(*big.columns), salts).cast("int")
+    no_key = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(MOST_HOT)) for c in on])
+    spread = F.pmod(F.xxhash64(*big.columns), F.coalesce(no_key, salts)).cast("int")
     left = big.join(hot, on, "left").withColumn("__salt", spread).drop("__salts")
     every = F.explode(F.sequence(F.lit(0), salts - 1))
     right = other.join(hot, on, "left").withColumn("__salt", every).drop("__salts")

@@ -447,3 +447,21 @@ def test_parallel_starts_see_all_rows(spark):
     for centers in found:
         assert len({tuple(c) for c in centers}) == 4
     assert kmeans.parallel_starts(df.limit(0), [(2, "random", 1)], 3) == {}
+
+
+def test_weighted_starts_follow_the_weight(spark):
+    rows = [(0, 0, [0.0], 1.0), (1, 0, [10.0], 1000.0), (2, 0, [10.5], 1000.0), (3, 0, [30.0], 500.0), (4, 1, [7.0], 3.0)]
+    df = spark.createDataFrame(rows, "row long, grp int, v array<double>, w double")
+    found = kmeans.parallel_starts(df, [(2, "k-means++", s) for s in range(8)], 5)
+    assert all(30.0 in c[:, 0] for c in found[0]) and all(c[:, 0].tolist() == [7.0, 7.0] for c in found[1])
+
+
+def test_salted_join_spreads_rows_without_a_key(spark, monkeypatch):
+    monkeypatch.setattr(joins, "TASK_ROWS", 50)
+    big = spark.range(600).select("id", F.when(F.col("id") % 2 == 0, F.col("id") % 3).alias("k"))
+    other = spark.createDataFrame([(0, "a"), (1, "b"), (None, "x")], "k long, name string")
+    plain = {tuple(r) for r in big.join(other, "k", "left").collect()}
+    joined = joins.salted_join(big, other, ["k"], "left")
+    assert {tuple(r) for r in joined.collect()} == plain and joined.count() == 600
+    inner = joins.salted_join(big, other, ["k"])
+    assert {tuple(r) for r in inner.collect()} == {r for r in plain if r[2]}
