@@ -465,3 +465,16 @@ def test_salted_join_spreads_rows_without_a_key(spark, monkeypatch):
     assert {tuple(r) for r in joined.collect()} == plain and joined.count() == 600
     inner = joins.salted_join(big, other, ["k"])
     assert {tuple(r) for r in inner.collect()} == {r for r in plain if r[2]}
+
+
+def test_grid_birch_scores_each_threshold_on_its_own_summaries(spark):
+    rng = np.random.default_rng(15)
+    x = np.concatenate([rng.normal(c, 0.25, size=(40, 2)) for c in ((0, 0), (5, 0), (0, 5))])
+    df, names = columns(spark, rng.permutation(x))
+    rows = grid.prepare(df, "id", names, folds=2)
+    both = {"n_clusters": [2, 3], "threshold": [0.2, 0.4], "branching_factor": [50, 100]}
+    table, best, labels = grid.grid_birch(rows, names, both)
+    found = table.collect()
+    assert best["n_clusters"] == 3 and labels.count() == 120 and {r.grid for r in found} == {8}
+    alone = [r.score for t in (0.2, 0.4) for r in grid.grid_birch(rows, names, both | {"threshold": [t]})[0].collect()]
+    assert [r.score for r in found] == pytest.approx(alone, abs=0.02)
