@@ -126,9 +126,10 @@ def top_per_group(
     return df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= k)
 
 
-def hash_order(key: str, seed: int) -> Column:
+def hash_order(key: str, seed: int | Column) -> Column:
     """Repeatable pseudo-random 32-bit number of a key, the same in any engine."""
-    text = F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))
+    start = seed.cast("string") if isinstance(seed, Column) else F.lit(str(seed))
+    text = F.concat_ws(":", start, F.col(key).cast("string"))
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 

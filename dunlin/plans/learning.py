@@ -6,8 +6,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from dunlin.features import text
-from dunlin.learn import bayes, classify, grouped, multilabel
+from dunlin.learn import bayes, classify, grouped, multilabel, trees
 from dunlin.operators.frame import flag_mismatch
+from dunlin.operators.ordering import ordered_split
 from dunlin.plans.features import _BAGS, _IDF
 from dunlin.plans.registry import query, table
 from dunlin.session import materialize, new_path
@@ -89,9 +90,118 @@ def balanced_bagging_forest(spark, sf_dir):
     return _bagged(spark, sf_dir, classify.forest(5), 2, "one_hot")
 
 
-@query()
+TARGETS = ["o_orderstatus", "o_orderpriority"]
+TREE_NUMERIC, TREE_CATEGORIES = ["o_totalprice", "year", "month"], ["weekday"]
+TREE_DEPTH = 4
+
+
+def _split_orders(spark, sf_dir):
+    return materialize(ordered_split(_orders(spark, sf_dir), ["o_orderkey"], 0.7).drop("row_id"), "split")
+
+
+def _tree_sql(targets: list[str], bags: int | None, last: str) -> str:
+    """SQL of the best Gini splits, level by level, on the head of the orders; ``last`` reads ``p<depth>`` or ``s<level>``."""
+    size = 5  # the most classes of a target
+    features = [*TREE_NUMERIC, *TREE_CATEGORIES]
+    parts = [
+        "o AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS rn, CAST(year(o_orderdate) AS DOUBLE) AS year, "
+        "CAST(month(o_orderdate) AS DOUBLE) AS month, strftime(o_orderdate, '%a') AS weekday FROM orders)",
+        "r AS (SELECT *, rn < (SELECT count(*) - ceil((1::DOUBLE - 0.7::DOUBLE) * count(*)) FROM o) AS train FROM o)",
+        "codes AS (SELECT weekday, row_number() OVER (ORDER BY weekday) - 1 AS code FROM (SELECT DISTINCT weekday FROM r WHERE train "
+        "AND weekday IS NOT NULL))",
+        "x AS (SELECT o_orderkey AS k, train, o_totalprice, year, month, CAST(coalesce(code, -1) AS DOUBLE) AS weekday FROM r LEFT JOIN "
+        "codes USING (weekday))",
+        "v AS (" + " UNION ALL ".join(f"SELECT k, train, {i} AS f, {c} AS v FROM x" for i, c in enumerate(features)) + ")",
+        f"e AS (SELECT f, CASE WHEN count(DISTINCT v) <= {trees.BINS} THEN list(DISTINCT v) ELSE list_distinct(quantile_cont(v, "
+        f"[{', '.join(str(i / trees.BINS) for i in range(1, trees.BINS))}])) END AS es FROM v WHERE train GROUP BY 1)",
+        "xb AS MATERIALIZED (SELECT k, f, len(list_filter(es, lambda q: q < v)) AS b FROM v JOIN e USING (f))",
+        "l AS (" + " UNION ALL ".join(f"SELECT o_orderkey AS k, train, {i} AS t, {c} AS name FROM r" for i, c in enumerate(targets)) + ")",
+        "cl AS (SELECT t, name, row_number() OVER (PARTITION BY t ORDER BY name) - 1 AS y FROM (SELECT DISTINCT t, name FROM l WHERE "
+        "train AND name IS NOT NULL))",
+        "y AS (SELECT k, train AND y IS NOT NULL AS train, l.t, y FROM l LEFT JOIN cl ON l.t = cl.t AND l.name = cl.name)",
+    ]
+    if bags is None:
+        parts.append("p0 AS MATERIALIZED (SELECT k, t, 0 AS bag, y, train AS held, CAST(1 AS BIGINT) AS node FROM y)")
+    else:
+        parts += [
+            "least AS (SELECT t, min(n) AS n FROM (SELECT t, y, count(*) AS n FROM y WHERE train GROUP BY ALL) GROUP BY 1)",
+            f"d AS (SELECT *, row_number() OVER (PARTITION BY bag, t, y, train ORDER BY ('0x' || substr(md5(({42} + bag) || ':' || k), 1, "
+            f"8))::BIGINT, k) AS place FROM y, (SELECT CAST(unnest(range({bags})) AS INTEGER) AS bag))",
+            "p0 AS MATERIALIZED (SELECT k, t, bag, y, train AND place <= n AS held, CAST(1 AS BIGINT) AS node FROM d JOIN least USING (t))",
+        ]
+    c = range(size)
+    square = lambda s: "(" + " + ".join(f"{s}{i}::DOUBLE * {s}{i}" for i in c) + ") / (" + " + ".join(f"{s}{i}" for i in c) + ")"
+    for d in range(TREE_DEPTH):
+        parts += [
+            f"h{d} AS (SELECT t, bag, node, f, b, " + ", ".join(f"count(*) FILTER (y = {i}) AS n{i}" for i in c)
+            + f" FROM p{d} JOIN xb USING (k) WHERE held GROUP BY ALL)",
+            f"w{d} AS (SELECT t, bag, node, f, b, " + ", ".join(
+                f"CAST(sum(n{i}) OVER (PARTITION BY t, bag, node, f ORDER BY b) AS BIGINT) AS a{i}, CAST(sum(n{i}) OVER (PARTITION BY t, "
+                f"bag, node, f) AS BIGINT) AS z{i}" for i in c
+            ) + f" FROM h{d})",
+            f"g{d} AS (SELECT *, " + ", ".join(f"z{i} - a{i} AS r{i}" for i in c) + f" FROM w{d} WHERE "
+            + " + ".join(f"z{i} - a{i}" for i in c) + " > 0 AND " + " + ".join(f"(z{i} > 0)::INT" for i in c) + " > 1)",
+            f"q{d} AS (SELECT *, {square('a')} + {square('r')} AS score FROM g{d})",
+            f"s{d} AS MATERIALIZED (SELECT t, bag, node, f, b, score - {square('z')} AS gain FROM q{d} QUALIFY row_number() OVER "
+            "(PARTITION BY t, bag, node ORDER BY score DESC, f, b) = 1)",
+            f"p{d + 1} AS MATERIALIZED (SELECT p.k, p.t, p.bag, p.y, p.held, CASE WHEN s.f IS NULL THEN p.node ELSE 2 * p.node + "
+            f"(xb.b > s.b)::INT END AS node FROM p{d} p LEFT JOIN s{d} s USING (t, bag, node) LEFT JOIN xb ON xb.k = p.k AND xb.f = s.f)",
+        ]
+    parts += [
+        f"leaf AS (SELECT t, bag, node, y, n / sum(n) OVER (PARTITION BY t, bag, node) AS share FROM (SELECT t, bag, node, y, count(*) "
+        f"AS n FROM p{TREE_DEPTH} WHERE held GROUP BY ALL))",
+        f"votes AS (SELECT p.k, p.t, leaf.y, round(sum(share), 9) AS s FROM p{TREE_DEPTH} p JOIN leaf USING (t, bag, node) GROUP BY ALL)",
+        "won AS (SELECT k, t, name FROM (SELECT k, t, y FROM votes QUALIFY row_number() OVER (PARTITION BY k, t ORDER BY s DESC, y) = 1) "
+        "JOIN cl USING (t, y))",
+    ]
+    return "WITH " + ", ".join(parts) + " " + last
+
+
+def _predictions(targets: list[str]) -> str:
+    given = ", ".join(f'w{i}.name AS "{c}_predicted", (r.{c} IS DISTINCT FROM w{i}.name)::INT AS "{c}_error"' for i, c in enumerate(targets))
+    joins = " ".join(f"LEFT JOIN won w{i} ON w{i}.k = o_orderkey AND w{i}.t = {i}" for i in range(len(targets)))
+    return f"SELECT o_orderkey, CASE WHEN train THEN 'train' ELSE 'test' END AS part, {', '.join(targets)}, {given} FROM r {joins}"
+
+
+def _fit_trees(rows, targets, bags):
+    model = trees.OrdinalTrees(bags=bags, max_depth=TREE_DEPTH)
+    return model.fit(rows.where("part = 'train'"), "o_orderkey", targets, TREE_NUMERIC, TREE_CATEGORIES)
+
+
+def _tree_predictions(spark, sf_dir, targets, bags):
+    rows = _split_orders(spark, sf_dir)
+    out = _fit_trees(rows, targets, bags).transform(rows)
+    wrong = [flag_mismatch(c, f"{c}_predicted").alias(f"{c}_error") for c in targets]
+    return out.select("o_orderkey", "part", *targets, *[f"{c}_predicted" for c in targets], *wrong)
+
+
+@query(_tree_sql(TARGETS, 3, _predictions(TARGETS)))
 def balanced_bagging_ordinal(spark, sf_dir):
-    return _bagged(spark, sf_dir, classify.tree(), 3, "ordinal")
+    """Two targets at once on numbers and ordinal codes: fitted on the head of the orders, all predicted."""
+    return _tree_predictions(spark, sf_dir, TARGETS, 3)
+
+
+@query(_tree_sql(TARGETS[:1], None, _predictions(TARGETS[:1])))
+def tree_ordinal(spark, sf_dir):
+    """One tree on all rows of the head, from level-wise histograms."""
+    return _tree_predictions(spark, sf_dir, TARGETS[:1], None)
+
+
+@query(
+    _tree_sql(
+        TARGETS, 3,
+        "SELECT target, \"column\", round(coalesce(sum(part), 0) / 3, 6) AS importance FROM (SELECT t, bag, f, sum(gain) / sum(sum(gain)) "
+        "OVER (PARTITION BY t, bag) AS part FROM ("
+        + " UNION ALL ".join(f"SELECT t, bag, f, gain FROM s{d}" for d in range(TREE_DEPTH))
+        + ") WHERE gain > 0 GROUP BY t, bag, f) RIGHT JOIN (VALUES "
+        + ", ".join(f"({t}, {f}, '{a}', '{c}')" for t, a in enumerate(TARGETS) for f, c in enumerate([*TREE_NUMERIC, *TREE_CATEGORIES]))
+        + ") names(t, f, target, \"column\") USING (t, f) GROUP BY target, \"column\"",
+    )
+)
+def tree_importance(spark, sf_dir):
+    """Share of the impurity that each column takes away, mean over the bags of a target."""
+    model = _fit_trees(_split_orders(spark, sf_dir), TARGETS, 3)
+    return model.importance().withColumn("importance", F.round("importance", 6))
 
 
 @query(
