@@ -1,8 +1,8 @@
 """Licence detection by ordered signature rules, in Spark columns only.
 
 A text is reduced to lower-case words. A prefilter of keywords picks the texts, and then the
-rules, that are worth a regular expression. Rules run in order of priority; what a rule has
-matched is taken out of the text, so detections inside it by later rules are suppressed.
+rules, that are worth a regular expression. Every match is an interval of words with the
+priority of its rule; one that lies inside an interval of higher priority is suppressed.
 """
 
 from __future__ import annotations
@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 # Phrases counted whatever the rules say, with their labels.
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
+RULE = "struct<regex:string,keyword:string,label:string,trust:double,place:int>"
+SPAN = "struct<start:int,end:int,place:int,label:string,trust:double>"
+
 _NUMBERS = {"1 0": "1.0", "1 1": "1.1", "2 0": "2.0", "2 1": "2.1", "2 5": "2.5", "3 0": "3.0", "4 0": "4.0"}
 
 
@@ -139,16 +142,62 @@ def _spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
+def _detections(text: Column, rule: Column) -> Column:
+    """Word intervals ``start`` to before ``end`` of all matches of a rule; every word has one space before it."""
+    gaps = F.transform(F.split(text, rule.getField("regex")), _spaces)
+    widths = F.transform(F.regexp_extract_all(text, rule.getField("regex"), F.lit(0)), _spaces)
+    none = F.array().cast(f"array<{SPAN}>")
+
+    def add(acc: Column, gap: Column, width: Column) -> Column:
+        start = acc.getField("at") + gap
+        end = start + F.coalesce(width, F.lit(0))
+        found = F.struct(start.alias("start"), end.alias("end"), *[rule.getField(c).alias(c) for c in ("place", "label", "trust")])
+        grown = F.when(width.isNull(), acc.getField("out")).otherwise(F.concat(acc.getField("out"), F.array(found)))
+        return F.struct(end.alias("at"), grown.alias("out"))
+
+    both = F.zip_with(gaps, widths, lambda gap, width: F.struct(gap.alias("gap"), width.alias("width")))
+    empty = F.struct(F.lit(0).alias("at"), none.alias("out"))
+    return F.aggregate(both, empty, lambda acc, p: add(acc, p.getField("gap"), p.getField("width")), lambda acc: acc.getField("out"))
+
+
+def _suppress(spans: Column) -> Column:
+    """Without intervals inside one of higher priority.
+
+    In order of start, longest first, all that may contain an interval come before it, and of
+    those only the ones still open are compared: at most one a rule.
+    """
+
+    def order(a: Column, b: Column) -> Column:
+        keys = [(a.getField("start"), b.getField("start")), (b.getField("end"), a.getField("end")), (a.getField("place"), b.getField("place"))]
+        out = F.lit(0)
+        for x, y in reversed(keys):
+            out = F.when(x < y, -1).when(x > y, 1).otherwise(out)
+        return out
+
+    def step(acc: Column, d: Column) -> Column:
+        alive = F.filter(acc.getField("open"), lambda o: o.getField("end") > d.getField("start"))
+        inside = F.exists(alive, lambda o: (o.getField("end") >= d.getField("end")) & (o.getField("place") < d.getField("place")))
+        kept = F.when(inside, acc.getField("kept")).otherwise(F.concat(acc.getField("kept"), F.array(d)))
+        return F.struct(F.when(inside, alive).otherwise(F.concat(alive, F.array(d))).alias("open"), kept.alias("kept"))
+
+    none = F.array().cast(f"array<{SPAN}>")
+    start = F.struct(none.alias("open"), none.alias("kept"))
+    return F.aggregate(F.array_sort(spans, order), start, step, lambda acc: acc.getField("kept"))
+
+
 def license_scan(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Columns ``keep``, ``n_words, n_base, first_word, last_word, base_labels, labels, score`` per row.
+    """Columns ``keep``, ``n_words, n_base, first_word, last_word, base_labels, labels, score, spans`` per row.
 
     Words are runs of ASCII letters and digits and of other characters past ASCII, in lower
     case. ``n_base`` counts the places of the base phrases, ``first_word`` and ``last_word``
-    are the smallest and largest word they start at, null without any. ``labels`` adds what
-    the rules find; both are distinct, sorted and joined by commas. ``score`` is the highest
-    trust of a detection, 1 for a base phrase, 0 for none.
-
-    A null text counts as empty: 0 words, empty labels, score 0. Repeated rows are judged one
+    are the smallest and largest word they start at, null without any. ``spans`` lists what
+    the rules find, in order of ``start``: words ``start`` to before ``end``, ``place`` of the
+    rule (0 first), ``label`` and ``trust``; intervals inside one of an earlier rule are left
+    out, those that only overlap stay. ``labels`` adds the labels of ``spans``; both are
+    distinct, sorted and joined by commas. ``score`` is the highest trust of a detection, 1
+    for a base phrase, 0 for none.
+
+    A null text counts as empty: 0 words, empty labels and spans, score 0. Repeated rows are judged one
     by one. Columns not in ``keep`` are dropped, so they cannot clash; ``keep`` must not name
     an output column. An empty table gives no rows. Texts stay where they are, no shuffle.
     """
@@ -168,25 +217,15 @@ def license_scan(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...]
         lasts.append(F.when(there, _spaces(F.substring(text, F.lit(1), last))))
         labels.append(F.when(there, F.lit(label)))
     table = rules()
-    kind = "array<struct<regex:string,keyword:string,label:string,trust:double>>"
-    every = F.from_json(F.lit(json.dumps(table)), kind)
+    every = F.from_json(F.lit(json.dumps([r | {"place": i} for i, r in enumerate(table)])), f"array<{RULE}>")
     gate = "|".join(sorted({r["keyword"] for r in table}))
-    wanted = F.filter(every, lambda r: F.contains(text, r.getField("keyword")))
-
-    def apply(acc: Column, rule: Column) -> Column:
-        hit = F.regexp_like(acc.getField("text"), rule.getField("regex"))
-        return F.when(
-            hit,
-            F.struct(
-                # The mask keeps what it hides from being matched again.
-                F.regexp_replace(acc.getField("text"), rule.getField("regex"), F.lit(" █")).alias("text"),
-                F.concat(acc.getField("labels"), F.array(rule.getField("label"))).alias("labels"),
-                F.greatest(acc.getField("trust"), rule.getField("trust")).alias("trust"),
-            ),
-        ).otherwise(acc)
-
-    start = F.struct(text.alias("text"), F.array().cast("array<string>").alias("labels"), F.lit(0.0).alias("trust"))
-    detected = F.aggregate(wanted, start, apply, lambda acc: acc.dropFields("text"))
+    # Patterns as literals are compiled once a task; only rules that match go on to their intervals.
+    hits = F.array_compact(
+        F.expr("array(" + ", ".join(f"if(contains(text, '{r['keyword']}') AND text RLIKE '{r['regex']}', {i}, null)" for i, r in enumerate(table)) + ")")
+    )
+    spans = F.flatten(F.transform("hits", lambda i: _detections(text, F.get(every, i))))
+    none = F.array().cast(f"array<{SPAN}>")
+    base = base.withColumn("hits", F.when(F.regexp_like(text, F.lit(gate)), hits))
     found = base.select(
         "kept",
         F.when(text == " ", 0).otherwise(_spaces(text) - 1).cast("long").alias("n_words"),
@@ -194,15 +233,15 @@ def license_scan(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...]
         F.least(*firsts).cast("long").alias("first_word"),
         F.greatest(*lasts).cast("long").alias("last_word"),
         F.array_compact(F.array(*labels)).alias("base"),
-        F.when(F.regexp_like(text, F.lit(gate)), detected).alias("found"),
+        F.when(F.size("hits") > 0, _suppress(spans)).otherwise(none).alias("spans"),
     )
-    none = F.array().cast("array<string>")
-    both = F.array_union("base", F.coalesce(F.col("found.labels"), none))
-    score = F.when(F.size("base") > 0, 1.0).otherwise(F.coalesce(F.col("found.trust"), F.lit(0.0)))
+    both = F.array_union("base", F.col("spans.label"))
+    score = F.when(F.size("base") > 0, 1.0).otherwise(F.coalesce(F.array_max("spans.trust"), F.lit(0.0)))
     return found.select(
         *[F.col("kept").getField(c).alias(c) for c in keep],
         "n_words", "n_base", "first_word", "last_word",
         F.array_join(F.array_sort(F.array_distinct("base")), ",").alias("base_labels"),
         F.array_join(F.array_sort(both), ",").alias("labels"),
         score.alias("score"),
+        "spans",
     )

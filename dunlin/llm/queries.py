@@ -90,7 +90,7 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and detections in every document."""
-    return license_scan(table(spark, sf_dir, "documents"), keep=("doc_id",))
+    return license_scan(table(spark, sf_dir, "documents"), keep=("doc_id",)).drop("spans")
 
 
 @query()

@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -552,3 +553,38 @@ def test_simhash(spark):
     found = sorted(((r.id, f"{r.fp & (2**64 - 1):016x}", r.component_id) for r in got), key=key)
     assert found == brute.simhash_components([r[:2] for r in rows])
     assert simhash_components(df.limit(0)).count() == 0
+
+
+def license_spans(text):
+    """Detections of one text by plain Python: all matches, less those inside one of an earlier rule."""
+    flat = " " + re.sub(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ", text.lower()).strip() + " "
+    found = []
+    for place, rule in enumerate(rules()):
+        if rule["keyword"] in flat:
+            for m in re.finditer(rule["regex"], flat):
+                start = flat.count(" ", 0, m.start())
+                found.append((start, start + m.group().count(" "), place, rule["label"]))
+    inside = lambda d, o: o[2] < d[2] and o[0] <= d[0] and d[1] <= o[1]
+    return sorted((d for d in found if not any(inside(d, o) for o in found)), key=lambda d: (d[0], -d[1], d[2]))
+
+
+def test_license_spans_against_plain_python(spark):
+    parts = [
+        "licensed under the terms of use", "Creative Commons Attribution-ShareAlike 4.0", "CC BY-SA 4.0 International", "all rights reserved",
+        "GNU Lesser General Public License v2.1 or later", "general public license", "GPL v3", "the MIT License", "Apache License, Version 2.0",
+        "SPDX-License-Identifier: Apache-2.0", "released into the public domain", "terms of service", "BSD 3-Clause License", "plain words",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy", "Copyright (c) 2019", "creative commons zero", "über",
+    ]
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(parts) for _ in range(rng.randrange(1, 9))) for _ in range(120)]
+    texts += [*parts, "", "licensed under the terms of use of the gnu general public license version 3 or any later version", "all rights reserved " * 400]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = {r.id: r for r in license_scan(df, keep=("id",)).collect()}
+    overlapping = 0
+    for i, text in enumerate(texts):
+        wanted = license_spans(text)
+        assert [(d.start, d.end, d.place, d.label) for d in got[i].spans] == wanted, text
+        assert set(filter(None, got[i].labels.split(","))) >= {d[3] for d in wanted}
+        overlapping += any(a[1] > b[0] for a, b in zip(wanted, wanted[1:]))
+    assert overlapping > 20
+    assert {d.label for d in got[texts.index("licensed under the terms of use")].spans} == {"licensed", "terms"}
