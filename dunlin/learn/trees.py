@@ -49,7 +49,7 @@ def bin_of(column: str, edges: Sequence[float]) -> Column:
     x = F.nanvl(F.col(column).cast("double"), F.lit(None))
     if not edges:
         return F.when(x.isNull(), -1).otherwise(0)
-    table = F.array(*[F.lit(float(e)) for e in edges])
+    table = F.expr("array(" + ", ".join(f"double('{float(e)!r}')" for e in edges) + ")")  # one call, not one per edge
     steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(edges).bit_length()))])
     below = F.aggregate(
         steps, F.lit(0), lambda at, s: F.when(F.get(table, at + s - 1) < x, at + s).otherwise(at)

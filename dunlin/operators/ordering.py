@@ -83,7 +83,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"),
         F.sum("rows").over(whole).alias("total"),
     )
-    wanted = runs.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+    wanted = runs.withColumn("prob", F.explode(F.expr("array(" + ", ".join(f"double('{float(p)!r}')" for p in probs) + ")")))
     spot = F.col("prob") * (F.col("total") - 1)
     wanted = (
         wanted.withColumn("share", spot - F.floor(spot))
