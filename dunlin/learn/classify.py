@@ -47,7 +47,10 @@ def scale_stage(df: DataFrame, numeric: Sequence[str]) -> SQLTransformer:
 def fit_features(
     df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), encoding: str = "one_hot"
 ) -> PipelineModel:
-    """Fitted feature stages ending in the vector column; unseen categories are all zero, or -1."""
+    """Fitted feature stages ending in the vector column; unseen or null categories are all zero, or the code after the last.
+
+    ``trees.OrdinalTrees`` codes them -1 and has no bound on their number.
+    """
     stages, inputs = [], []
     if numeric:
         stages.append(scale_stage(df, numeric))
