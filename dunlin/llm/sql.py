@@ -72,6 +72,7 @@ _LONGEST = sorted(URL_RULES, key=lambda r: -len(r[0]))
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = "^(?s:.*?)://([^/?#]*)([^?#]*)"
 
+# The globs read the url as it stands: for urls that are canonical already, as those of the tables.
 URL_VERDICTS = f"""
 WITH p AS (
     SELECT page_id, translate(regexp_extract(coalesce(url, ''), '{_PARTS}', 1), '{_UPPER}', '{_LOWER}') AS host,

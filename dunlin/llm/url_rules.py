@@ -1,12 +1,16 @@
 """Bit-parallel wildcard automaton over URLs (multiword Shift-And).
 
 All glob patterns are laid one after the other into the bits of a few 64-bit words. One
-step per character moves every pattern of every URL of a batch at once.
+step per character moves every pattern of every URL of a batch at once. Rules read host
+and path as they stand; the blocking globs read the canonical form, so that escapes,
+capitals, ports or dot segments hide nothing.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
+from urllib.parse import unquote_to_bytes
 
 import numpy as np
 import pyarrow as pa
@@ -20,13 +24,14 @@ RULES = (
     ("example.com/de/", "block"),
     ("org/fr/", "allow"),
 )
-# Globs over ``.host`` and path for URLs that no rule fits; any match blocks.
+# Globs over ``.host`` and path, both canonical, for URLs that no rule fits; any match blocks.
 BLOCKED_GLOBS = (
     "*spam*", "*cheap-pills*", "*casino*", "*free-bets*", "*ads-track*", "*viagra*", "*lottery*", "*jackpot*", "*betting*", "*porn*",
     "*.xxx\xff*", "*torrent*", "*warez*", "*free-money*", "*payday*loan*", "*replica*watch*", "*adult*cams*",
     "*clickbait*", "*malware*", "*phish*", "*\xff/ads/*", "*\xff/track/*click*",
 )
 DIVIDER = 0xFF  # stands between host and path; no byte of UTF-8 text equals it
+STATE_WORDS = 1 << 20  # of 64 bits, for the urls that are read side by side
 
 
 class ShiftAnd:
@@ -67,7 +72,13 @@ class ShiftAnd:
             self.final.append((word, np.uint64(1 << bit)))
 
     def match(self, texts: Sequence[bytes]) -> np.ndarray:
-        """Boolean matrix: text by pattern. Short texts leave the loop first."""
+        """Boolean matrix: text by pattern; memory for states does not grow with the texts."""
+        many = max(1, STATE_WORDS // len(self.first))
+        parts = [self._match(texts[i : i + many]) for i in range(0, len(texts), many)]
+        return np.concatenate(parts) if parts else np.zeros((0, len(self.final)), bool)
+
+    def _match(self, texts: Sequence[bytes]) -> np.ndarray:
+        """Short texts leave the loop first."""
         order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
         lengths = np.array([len(texts[i]) for i in order])
         state = np.zeros((len(texts), len(self.first)), np.uint64)
@@ -101,6 +112,37 @@ def host_and_path(url: str | None) -> tuple[str, str]:
     return host.encode().lower().decode(), path
 
 
+def _unescaped(text: bytes) -> bytes:
+    """Percent escapes decoded until none is left; each round shortens the text."""
+    while (plain := unquote_to_bytes(text)) != text:
+        text = plain
+    return text
+
+
+def canonical(host: str, path: str) -> bytes:
+    """What the globs read: a dot, the canonical host, ``DIVIDER`` and the canonical path.
+
+    Escapes are decoded, also repeated ones, and tabs and line ends dropped. The host loses user
+    info, port and dots at its ends; repeated dots are one. In the path repeated slashes are one
+    and ``.`` and ``..`` are resolved; what escaped ``?`` and ``#`` bring in stays. A-Z become
+    lower case, bytes that UTF-8 does not use are dropped.
+    """
+    drop = bytes([9, 10, 13, *range(0xF8, 0x100)])
+    name = _unescaped(host.encode()).translate(None, drop).rpartition(b"@")[2]
+    name = re.sub(rb"\.+", b".", re.sub(rb":[0-9]*\Z", b"", name)).strip(b".")
+    steps: list[bytes] = []
+    parts = _unescaped(path.encode()).translate(None, drop).split(b"/")
+    for part in parts:
+        if part == b"..":
+            del steps[-1:]
+        elif part not in (b"", b"."):
+            steps.append(part)
+    whole = b"".join(b"/" + step for step in steps)
+    if parts[-1] in (b"", b".", b"..") and len(parts) > 1:
+        whole += b"/"
+    return b"." + name.lower() + bytes([DIVIDER]) + whole.lower()
+
+
 def _glob(rule: str) -> bytes:
     host, slash, path = rule.partition("/")
     return b"*." + host.encode() + bytes([DIVIDER]) + (slash + path).encode() + b"*"
@@ -112,8 +154,8 @@ def url_verdicts(
     """Rows ``(id, host, path, rule, verdict)`` for each row of ``pages``.
 
     The longest fitting rule decides; of rules of equal length the first in ``rules``.
-    Without one, ``block`` if a glob of ``blocked`` matches, else ``allow``; ``rule`` is
-    then null. Literal ``*`` cannot occur in rules.
+    Without one, ``block`` if a glob of ``blocked`` matches the canonical url, else ``allow``;
+    ``rule`` is then null. Literal ``*`` cannot occur in rules.
 
     A null url, or one without ``://``, has an empty host and path, fits nothing and is
     allowed. Null ids and repeated rows are kept. Long urls cost one step per character
@@ -126,9 +168,13 @@ def url_verdicts(
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [host_and_path(u) for u in batch.column("url").to_pylist()]
-            hit = machine.match([b"." + h.encode() + bytes([DIVIDER]) + p.encode() for h, p in parts])
-            rule = [None] * len(parts)
+            given = [b"." + h.encode() + bytes([DIVIDER]) + p.encode() for h, p in parts]
+            whole = [canonical(h, p) for h, p in parts]
+            hit = machine.match(whole)
             verdict = np.where(hit[:, len(rules) :].any(axis=1), "block", "allow").tolist()
+            changed = [i for i, (a, b) in enumerate(zip(given, whole)) if a != b]
+            hit[changed] = machine.match([given[i] for i in changed])
+            rule = [None] * len(parts)
             for j in reversed(rank):
                 for i in np.flatnonzero(hit[:, j]).tolist():
                     rule[i], verdict[i] = rules[j]

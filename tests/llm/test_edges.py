@@ -23,7 +23,7 @@ from dunlin.llm.quality_classifier import fit_quality, score_quality
 from dunlin.llm.quality_rules import quality_rules
 from dunlin.llm.shingles import CHUNK, shingle_sets, word_codes
 from dunlin.llm.simhash import BKTrees, near_links, simhash_components
-from dunlin.llm.url_rules import RULES, ShiftAnd, url_verdicts
+from dunlin.llm.url_rules import RULES, ShiftAnd, canonical, host_and_path, url_verdicts
 from dunlin.llm.warc import read_warc, write_warc
 from dunlin.session import materialize, new_path
 from tests.llm import brute
@@ -263,6 +263,44 @@ def test_shift_and_matches_like_globs():
     assert [[bool(x) for x in row] for row in hit] == [[fnmatchcase(t, g) for g in globs] for t in texts]
 
 
+def test_shift_and_with_thousands_of_globs():
+    from fnmatch import fnmatchcase
+
+    rng = random.Random(6)
+    globs = ["*" + "".join(rng.choices("abc", k=rng.randint(3, 7))) + rng.choice(("", "*", "*a*", "/*")) for _ in range(3000)]
+    texts = ["".join(rng.choices("abc/", k=rng.randint(0, 40))) for _ in range(200)]
+    machine = ShiftAnd([g.encode() for g in globs])
+    assert len(machine.first) > 200  # words of 64 bits
+    hit = machine.match([t.encode() for t in texts])
+    assert hit.tolist() == [[fnmatchcase(t, g) for g in globs] for t in texts] and hit.any(axis=0).sum() > 500
+    assert machine.match([]).shape == (0, 3000)
+
+
+def test_globs_read_the_canonical_url(spark):
+    same = {
+        "http://user:pass@Shop.ORG.:8080//a/./b/../%43asino?q": b".shop.org\xff/a/casino",
+        "http://shop.org:/a/..": b".shop.org\xff/",
+        "http://shop..org/%2563%61sino/": b".shop.org\xff/casino/",
+        "http://%73hop.org": b".shop.org\xff",
+        "http://shop.org/../../a%2Fb%": b".shop.org\xff/a/b%",
+        "http://shop.org/\u00c9%C3%89%FFx%F8": b".shop.org\xff/\xc3\x89\xc3\x89x",
+        "http:///": b".\xff/",
+        "no scheme": b".\xff",
+    }
+    for url, whole in same.items():
+        assert canonical(*host_and_path(url)) == whole, url
+    hidden = ["http://a.org/%63asino", "http://a.org/CASINO", "http://a.org/ca%09sino", "http://a.xxx:99/", "http://a.xxx./", "http://a.org/x/%2e%2e/ads/1"]
+    plain = ["http://a.org/ok?casino", "http://a.xxx.org/", "http://a.org/ads", "http://casin.org/o", "http://a.org/%63asin"]
+    ruled = {"http://A.net:80/CASINO": None, "http://a.org/fr/%63asino": "org/fr/", "http://a.org/x/../fr/casino": None, "http://a.net/casino": "net/"}
+    urls = hidden + plain + list(ruled)
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {urls[r.id]: r for r in url_verdicts(df).collect()}
+    assert [got[u].verdict for u in hidden + plain] == ["block"] * len(hidden) + ["allow"] * len(plain)
+    assert {u: got[u].rule for u in ruled} == ruled
+    assert [got[u].verdict for u in ruled] == ["block", "allow", "block", "block"]
+    assert got["http://A.net:80/CASINO"].host == "a.net:80" and got["http://A.net:80/CASINO"].path == "/CASINO"
+
+
 def test_license_scan(spark):
     df, rows = frame(spark)
     got = license_scan(df, keep=("doc_id", "text", "words")).collect()
