@@ -26,7 +26,8 @@ LIST_ROWS = 128  # vectors that a posting list should hold
 MOST_LISTS = 4096
 REPLICAS = 4  # lists a border vector may be in
 REPLICA_RATIO = 1.15
-READ_RATIO = 1.6  # lists up to this multiple of the nearest centroid's distance are read
+READ_RATIO = 1.6  # lists up to this multiple of the nearest centroid's distance are read,
+LEAST_LISTS = 16  # and these many nearest ones, also where a query lies on a centroid
 WALK = 64  # centroids kept by the graph walk at least,
 WALK_SHARE = 1 / 6  # and this share of them, so that recall holds as lists grow in number
 LINKS = 12
@@ -112,7 +113,9 @@ class CentroidGraph:
 
     def lists_to_read(self, q: np.ndarray) -> list[int]:
         gap, found = self.walk(q)
-        return found[gap <= READ_RATIO * gap[0]].tolist()
+        near = gap <= READ_RATIO * gap[0]
+        near[:LEAST_LISTS] = True
+        return found[near].tolist()
 
     def lists_to_join(self, x: np.ndarray) -> list[list[int]]:
         """The nearest list of every row, and others about as near."""

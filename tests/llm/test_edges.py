@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from corpus_pipeline import STAGES
-from dunlin.llm.ann import CentroidGraph, nearest_neighbours
+from dunlin.llm.ann import LEAST_LISTS, CentroidGraph, nearest_neighbours
 from dunlin.llm.bpe import Codec, SharedCodec, decode_ids, encode_texts, read_ranks
 from dunlin.llm.chat import format_chat, read_chat
 from dunlin.llm.license_scan import license_scan, rules
@@ -373,6 +373,24 @@ def test_nearest(spark):
     assert nearest_neighbours(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_queries_on_a_centroid_read_more_than_its_list(spark):
+    """Copies of a direction in tight groups: the distance to the nearest centroid says nothing about the others."""
+    rng = np.random.default_rng(8)
+    centers = rng.standard_normal((60, 12))
+    x = np.concatenate([c + 0.002 * rng.standard_normal((30, 12)) for c in centers] + [rng.standard_normal((400, 12))])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    graph = CentroidGraph(np.concatenate([x, np.zeros((len(x), 1))], axis=1), 80)
+    assert all(len(graph.lists_to_read(c)) >= min(LEAST_LISTS, len(graph.centers)) for c in graph.centers)
+    order = rng.permutation(len(x)).tolist()
+    rows = [(i, x[j].tolist()) for i, j in enumerate(order)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want, found = brute.nearest(rows), {}
+    for r in nearest_neighbours(df, df.where("vec_id % 20 = 0"), 20).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = [len(found[q] & {v for v, _ in want[q]}) for q in want]
+    assert len(hits) == 110 and sum(hits) >= 0.9 * 20 * len(hits) and min(hits) >= 10
+
+
 def test_centroid_walk_finds_the_near_centroids():
     rng = np.random.default_rng(0)
     graph = CentroidGraph(rng.standard_normal((3000, 6)), 200)
