@@ -1,7 +1,7 @@
 """Deterministic sharded WARC writer and reader.
 
-Records are sorted by id into shards of equal raw size, files roll by compressed size, and
-every record is a gzip member of its own. Tasks write under temporary names; the manifest
+Records are sorted by id into shards of equal raw size, one task each; files roll by compressed
+size, and every record is a gzip member of its own. Tasks write under temporary names; the manifest
 lists what the successful attempts wrote, and only that gets a final name.
 """
 
@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import math
 import re
 import uuid
 import zlib
@@ -21,11 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dunlin.llm.mixing import BUCKET_ROWS, running_start
 from dunlin.operators.joins import salted_join
 from dunlin.operators.ordering import ranked
 from dunlin.session import materialize
 
-SHARD_BYTES = 64 << 20  # payload bytes of a shard
+SHARD_BYTES = 64 << 20  # raw bytes of a shard
+HEAD_BYTES = 512  # of a record beside its payload, about
+MOST_TASKS = 1 << 16  # beyond so many shards a task writes several, one after the other
 ROLL_BYTES = 32 << 20  # compressed bytes after which a file is closed
 DATE = "1970-01-01T00:00:00Z"  # of all records: pages carry no time, and reruns must agree
 
@@ -84,14 +86,16 @@ def _revisits(rows: DataFrame) -> DataFrame:
 
 
 def _cuts(rows: DataFrame, shard_bytes: int) -> list[int]:
-    """First id of every shard but the first: one number per shard comes to the driver."""
-    n, size = rows.agg(F.count("*"), F.sum("size")).first()
-    if not n:
-        return []
-    shards = max(1, math.ceil(size / shard_bytes))
-    per = math.ceil(n / shards)
-    at = ranked(rows.select("id", "sha"), ["id", "sha"]).where((F.col("row_id") % per == 0) & (F.col("row_id") > 0))
-    return sorted({r["id"] for r in at.select("id").toLocalIterator() if r["id"] is not None})
+    """First id of every shard but the first: one number per shard comes to the driver.
+
+    A shard begins at the first record with a multiple of ``shard_bytes`` before it.
+    """
+    rows = rows.select("id", "sha", (F.col("size") + HEAD_BYTES).alias("size"))
+    at = ranked(rows, ["id", "sha"]).withColumn("bucket", F.floor(F.col("row_id") / BUCKET_ROWS))
+    at = running_start(at, [], "bucket", ["row_id"], "size", "before")
+    firsts = at.groupBy(F.floor(F.col("before") / shard_bytes).alias("shard")).agg(F.min("id").alias("id"))
+    found = firsts.where("shard > 0 and id is not null").select("id").distinct()
+    return sorted(r["id"] for r in found.toLocalIterator())
 
 
 def write_warc(
@@ -170,7 +174,10 @@ def write_warc(
             yield _manifest_batch([close()])
 
     kinds = "file string, temporary string, shard int, part int, records long, bytes long, sha1 string"
-    ordered = every.repartition("shard").sortWithinPartitions("shard", "id", "sha", "kind", "url")
+    shards = len(cuts) + 1
+    tasks = min(shards, MOST_TASKS)
+    dealt = every.repartitionById(tasks, F.floor(F.col("shard").cast("long") * tasks / shards).cast("int"))
+    ordered = dealt.sortWithinPartitions("shard", "id", "sha", "kind", "url")
     # Written before anything is renamed: it lists one attempt of each task.
     manifest = materialize(ordered.mapInArrow(write, kinds), "warc-manifest")
 

@@ -24,7 +24,7 @@ from dunlin.llm.quality_rules import quality_rules
 from dunlin.llm.shingles import CHUNK, shingle_sets, word_codes
 from dunlin.llm.simhash import BKTrees, near_links, simhash_components
 from dunlin.llm.url_rules import RULES, ShiftAnd, canonical, host_and_path, url_verdicts
-from dunlin.llm.warc import read_warc, write_warc
+from dunlin.llm.warc import HEAD_BYTES, read_warc, write_warc
 from dunlin.session import materialize, new_path
 from tests.llm import brute
 
@@ -340,6 +340,23 @@ def test_warc(spark):
     assert write_warc(df.limit(0), folder).count() == 0
 
 
+def test_warc_shards_hold_equal_bytes(spark):
+    """Sizes that grow with the id: shards of equal row counts would differ forty times."""
+    rng = random.Random(9)
+    rows = [(i, f"http://a/{i}", "".join(rng.choices("abcdefgh", k=20 + 10 * i))) for i in range(400)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folder = new_path(spark, "warc-test")
+    manifest = write_warc(df, folder, shard_bytes=50_000).collect()
+    got = {r.id: r for r in read_warc(spark, folder).collect()}
+    at, raw = 0, []
+    for shard, records in sorted((r.shard, r.records) for r in manifest):
+        raw.append(sum(HEAD_BYTES + len(html) for _, _, html in rows[at : at + records]))
+        at += records
+    assert at == 400 and len(got) == 400 and all(r.intact for r in got.values())
+    assert len(raw) == -(-sum(HEAD_BYTES + len(r[2]) for r in rows) // 50_000)
+    assert all(abs(b - 50_000) <= HEAD_BYTES + 4010 for b in raw[:-1])
+
+
 def test_chat(spark):
     nasty = ["<|im_end|>", "<\\|x", "<\\\\|", "a\nb", "\\", "<|im_start|>assistant\n", "", None, "é<|", "<<||>>", "$1\\$"]
     rng = random.Random(4)
