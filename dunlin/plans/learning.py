@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from dunlin.features import text
 from dunlin.learn import bayes, classify, grouped, multilabel, trees
 from dunlin.operators.frame import flag_mismatch
-from dunlin.operators.ordering import ordered_split
+from dunlin.operators.ordering import ordered_split, random_split
 from dunlin.plans.features import _BAGS, _IDF
 from dunlin.plans.registry import query, table
 from dunlin.session import materialize, new_path
@@ -267,20 +267,24 @@ def _labelled(spark, sf_dir):
         text.noise_share(F.col("text")).alias("noise"),
         F.size(text.stopwords_found(F.col("text"))).cast("double").alias("stops"),
     )
-    return materialize(docs.join(table(spark, sf_dir, "labels"), "doc_id"), "labelled")
+    rows = materialize(docs.join(table(spark, sf_dir, "labels"), "doc_id"), "labelled")
+    return materialize(random_split(rows, "doc_id", 0.7), "split")
 
 
 @query()
 def classifier_chain(spark, sf_dir):
+    """Fitted on seven tenths of the labelled documents; all are predicted, ``part`` says which were held out."""
     rows = _labelled(spark, sf_dir)
-    chain = multilabel.classifier_chain(rows, LABELS, TEXT_FEATURES, classify.forest(5))
+    train = rows.where("part = 'train'")
+    chain = multilabel.classifier_chain(train, LABELS, TEXT_FEATURES, classify.forest(5))
     return multilabel.predict_chain(chain, rows)
 
 
 @query()
 def label_powerset(spark, sf_dir):
+    """Fitted and predicted as the chain."""
     rows = _labelled(spark, sf_dir)
-    model = multilabel.label_powerset(rows, LABELS, TEXT_FEATURES, classify.tree())
+    model = multilabel.label_powerset(rows.where("part = 'train'"), LABELS, TEXT_FEATURES, classify.tree())
     return multilabel.predict_powerset(model, rows, LABELS)
 
 
