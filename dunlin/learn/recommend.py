@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dunlin.features.encoding import category_list
@@ -13,6 +14,10 @@ from dunlin.operators.joins import lookup_join, salted_join
 from dunlin.operators.neighbors import knn_join, vector_of
 from dunlin.operators.ordering import top_per_group
 from dunlin.operators.sparse import sparse_topk, unit_rows
+from dunlin.session import shuffle_width
+
+TARGETS = 64  # items that one row of a rating may take along
+USER_ROWS = 100_000  # ratings per task, on average
 
 
 def similar_items(ratings: DataFrame, k: int) -> DataFrame:
@@ -35,13 +40,25 @@ def predict_ratings(ratings: DataFrame, neighbors: DataFrame) -> DataFrame:
     """
     near = neighbors.select(
         F.col("neighbor").alias("seen"), F.col("item").alias("target"), (1 - F.col("distance")).alias("sim")
-    )
+    ).where(F.col("sim") > 0)
+    # A rating takes its item's targets along in lists of bounded length; they part at the user's task.
+    place = F.row_number().over(Window.partitionBy("seen").orderBy("target"))
+    lists = near.withColumn("part", F.floor((place - 1) / TARGETS)).groupBy("seen", "part")
+    lists = lists.agg(F.collect_list(F.struct("target", "sim")).alias("e"))
+    lists = lists.select("seen", F.col("e.target").alias("targets"), F.col("e.sim").alias("sims"))
     rated = ratings.select(F.col("item").alias("seen"), "user", "rating")
-    pairs = salted_join(rated, near.where(F.col("sim") > 0), ["seen"])
-    sums = pairs.groupBy("user", F.col("target").alias("item")).agg(
-        (F.sum(F.col("sim") * F.col("rating")) / F.sum("sim")).alias("predicted")
+    sent = salted_join(rated, lists, ["seen"]).select("user", "rating", "targets", "sims", F.lit(False).alias("own"))
+    own = ratings.where("user is not null and item is not null").select(
+        "user", F.lit(None).cast("double").alias("rating"), F.array("item").alias("targets"),
+        F.array(F.lit(None).cast("double")).alias("sims"), F.lit(True).alias("own"),
+    )
+    tasks = max(shuffle_width(ratings.sparkSession), math.ceil(ratings.count() / USER_ROWS))
+    at_user = sent.unionByName(own).repartition(tasks, "user")
+    pairs = at_user.select("user", "rating", "own", F.inline(F.arrays_zip("targets", "sims")))
+    sums = pairs.groupBy("user", F.col("targets").alias("item")).agg(
+        (F.sum(F.col("sims") * F.col("rating")) / F.sum("sims")).alias("predicted"), F.max("own").alias("own")
     )
-    return sums.join(ratings.select("user", "item"), ["user", "item"], "left_anti")
+    return sums.where("not own").drop("own")
 
 
 def recommend(ratings: DataFrame, neighbors: DataFrame, n: int) -> DataFrame:

@@ -4,12 +4,13 @@ Rows are kept in long form ``(item, dim, weight)`` with weights >= 0.
 
 Where it costs less, items are cut into blocks and a task scores one pair of
 blocks, so that only the best ``k`` per item leave it. With very many items
-the blocks would be copied too often; then a dimension with at most
-``HOT_ROWS`` items is joined with itself, which yields at most ``HOT_ROWS``
-pairs per input row, and only the dimensions with more go through the blocks.
-They are never expanded into pairs of rows. An item with a top score either
-shares a small dimension, and is then scored in full, or owes its score to the
-hot ones alone.
+the blocks would be copied too often; then each entry of a dimension with at
+most ``HOT_ROWS`` items takes the dimension's list of items to the task of its
+own item, where pairs are made, summed and cut to the best ``k``, and only the
+dimensions with more go through the blocks. They are never expanded into pairs
+of rows. An item with a top score either shares a small dimension, and is then
+scored in full, or owes its score to the hot ones alone. In blocks, items with
+the same entries are scored once.
 """
 
 from __future__ import annotations
@@ -21,12 +22,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dunlin.operators.joins import lookup_join
+from dunlin.operators.joins import lookup_join, salted_join
 from dunlin.operators.ordering import ranked, top_per_group
 from dunlin.session import materialize, shuffle_width
 
 HOT_ROWS = 128
-BLOCK_ITEMS = 2048
+BLOCK_ITEMS = 2048  # rows per side of one matrix of scores
+BLOCK_ENTRIES = 500_000  # entries per side of a block pair, on average
+PAIR_CELLS = 20  # cells of a matrix of scores that cost as much as one pair of rows
+TASK_PAIRS = 1_500_000  # pairs of items that one task sums
 LIST_ROWS = 1_000_000  # entries one item may bring into a task
 SLICE = 4_000_000  # products formed at a time
 DIGITS = 9
@@ -72,17 +76,33 @@ def _products(x: pd.DataFrame, y: pd.DataFrame) -> np.ndarray:
     return total.reshape(len(x), len(y))
 
 
-def _block_scores(x: pd.DataFrame, y: pd.DataFrame, k: int) -> pd.DataFrame:
-    """Best ``k`` of block ``y`` for every row of block ``x``."""
+def _block_scores(x: pd.DataFrame, y: pd.DataFrame, k: int, same: bool = False) -> pd.DataFrame:
+    """Best ``k`` of block ``y`` for every row of block ``x``; ``same`` keeps the row itself."""
     if not len(x) or not len(y):
         return pd.DataFrame({"item": [], "other": [], "score": []})
     y = y.sort_values("item")
+    found = []
+    for at in range(0, len(x), BLOCK_ITEMS):
+        best = None
+        for beside in range(0, len(y), BLOCK_ITEMS):
+            part = _part_scores(x.iloc[at : at + BLOCK_ITEMS], y.iloc[beside : beside + BLOCK_ITEMS], k, same)
+            if best is not None:  # items of ``y`` ascend, so a stable sort keeps ties in order
+                part = pd.concat([best, part]).sort_values("score", ascending=False, kind="stable")
+                part = part.groupby("item", sort=False).head(k)
+            best = part
+        found.append(best)
+    return pd.concat(found)
+
+
+def _part_scores(x: pd.DataFrame, y: pd.DataFrame, k: int, same: bool) -> pd.DataFrame:
     total = np.round(_products(x, y), DIGITS)
     a, b = x["item"].to_numpy(), y["item"].to_numpy()
-    total[a[:, None] == b[None, :]] = 0.0
+    if not same:
+        total[a[:, None] == b[None, :]] = 0.0
     if total.max() < 1e6:  # score and column as one whole number: no ties
         whole = np.rint(total * 10**DIGITS).astype("int64") * len(b) + np.arange(len(b))[::-1]
         best = np.argpartition(-whole, min(k, len(b)) - 1, axis=1)[:, :k]
+        best = np.take_along_axis(best, np.argsort(-np.take_along_axis(whole, best, 1), axis=1), 1)
     else:
         best = np.argsort(-total, axis=1, kind="stable")[:, :k]
     out = pd.DataFrame(
@@ -111,7 +131,7 @@ def spread(df: DataFrame, blocks: int) -> DataFrame:
     return df.repartition(min(blocks * blocks, 4 * shuffle_width(df.sparkSession)), "a", "b")
 
 
-def _block_top(hot: DataFrame, k: int, blocks: int) -> DataFrame:
+def _block_top(hot: DataFrame, k: int, blocks: int, same: bool = False) -> DataFrame:
     part = F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     left = hot.withColumn("a", part).withColumn("b", every)
@@ -119,7 +139,7 @@ def _block_top(hot: DataFrame, k: int, blocks: int) -> DataFrame:
     right = hot.select(*[F.col(c).alias(n) for c, n in names.items()], part.alias("b")).withColumn("a", every)
 
     def best(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        return _block_scores(x, y.rename(columns={n: c for c, n in names.items()}), k)
+        return _block_scores(x, y.rename(columns={n: c for c, n in names.items()}), k, same)
 
     return (
         spread(left, blocks).groupBy("a", "b")
@@ -128,6 +148,32 @@ def _block_top(hot: DataFrame, k: int, blocks: int) -> DataFrame:
     )
 
 
+def _top_by_class(lists: DataFrame, k: int, blocks: int) -> DataFrame:
+    """Best ``k`` other items of every item; items with the same entries are scored once.
+
+    A class stands under its lowest item. Any item among the best ``k + 1`` of a row, itself
+    included, is in one of the ``k + 1`` best classes and among the ``k + 1`` lowest of it.
+    """
+    named = lists.withColumn("h", F.xxhash64("dims", "ws"))
+    classes = named.groupBy("h", "dims", "ws").agg(F.min("item").alias("class"), F.count("*").alias("n"))
+    classes = materialize(classes, "classes")
+    items, distinct = classes.agg(F.sum("n"), F.count("*")).first()
+    if items == distinct:
+        return _block_top(lists, k, blocks)
+    member = named.join(classes.where("n > 1").drop("n"), ["h", "dims", "ws"]).select("class", "item")
+    alone = classes.where("n = 1").select("class", F.col("class").alias("item"))
+    member = materialize(member.unionByName(alone), "members")
+    near = _block_top(classes.select(F.col("class").alias("item"), "dims", "ws"), k + 1, blocks, same=True)
+    near = top_per_group(near, ["item"], [F.desc("score"), F.col("other")], k + 1).drop("rank")
+    lowest = top_per_group(member, ["class"], [F.col("item")], k + 1)
+    lowest = lowest.groupBy("class").agg(F.collect_list("item").alias("others"))
+    hits = near.join(lowest.withColumnRenamed("class", "other"), "other")
+    hits = hits.select(F.col("item").alias("class"), F.explode("others").alias("other"), "score")
+    hits = top_per_group(hits, ["class"], [F.desc("score"), F.col("other")], k + 1)
+    hits = hits.groupBy("class").agg(F.collect_list(F.struct("other", "score")).alias("hits"))
+    return salted_join(member, hits, ["class"]).select("item", F.inline("hits")).where("item <> other")
+
+
 def sparse_topk(
     df: DataFrame, item: str, dim: str, weight: str, k: int, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
@@ -147,10 +193,10 @@ def sparse_topk(
     per_item = rows.groupBy("item").agg(F.count("*").alias("n"))
     items, longest = per_item.agg(F.count("*"), F.max("n")).first()
     cores = df.sparkSession.sparkContext.defaultParallelism
-    blocks = max(math.ceil(items / BLOCK_ITEMS), min(math.isqrt(cores), math.ceil(items / 128)))
-    if n_rows * blocks <= pairs and longest <= LIST_ROWS:
+    blocks = max(math.ceil(n_rows / BLOCK_ENTRIES), min(math.isqrt(16 * cores), math.ceil(items / 128)))
+    if n_rows * blocks <= pairs and items * items <= PAIR_CELLS * pairs and longest <= LIST_ROWS:
         coded = lookup_join(rows, ranked(sizes.select("dim"), ["dim"], name="code"), ["dim"])
-        best = _block_top(_as_lists(coded), k, blocks)
+        best = _top_by_class(_as_lists(coded), k, blocks)
         return top_per_group(best, ["item"], [F.desc("score"), F.col("other")], k)
     hot_dims = materialize(sizes.where(F.col("n") > hot_rows).select("dim"), "hot")
     any_hot = bool(hot_dims.limit(1).count())
@@ -160,12 +206,13 @@ def sparse_topk(
         light = coded.where(F.col("code").isNull()).select("item", "dim", "w")
     else:
         light = rows
-    a, b = light.alias("a"), light.alias("b")
-    half = (
-        a.join(b, (F.col("a.dim") == F.col("b.dim")) & (F.col("a.item") < F.col("b.item")))
-        .groupBy(F.col("a.item").alias("item"), F.col("b.item").alias("other"))
-        .agg(F.sum(F.col("a.w") * F.col("b.w")).alias("score"))
-    )
+    entries = light.where("dim is not null").groupBy("dim").agg(F.collect_list(F.struct("item", "w")).alias("e"))
+    entries = entries.select(F.inline("e"), F.col("e.item").alias("others"), F.col("e.w").alias("ws"))
+    tasks = max(shuffle_width(df.sparkSession), math.ceil(2 * pairs / TASK_PAIRS))
+    made = entries.repartition(tasks, "item").select("item", "w", F.inline(F.arrays_zip("others", "ws")))
+    # From here on to the best ``k`` of an item nothing is shuffled: its pairs are in one task.
+    half = made.where(F.col("others") > F.col("item") if any_hot else F.col("others") != F.col("item"))
+    half = half.groupBy("item", F.col("others").alias("other")).agg(F.sum(F.col("w") * F.col("ws")).alias("score"))
     if any_hot:
         hot = _as_lists(coded.where(F.col("code").isNotNull()))
         mine = hot.select("item", F.arrays_zip("dims", "ws").alias("mine"))
@@ -183,14 +230,10 @@ def sparse_topk(
             .join(theirs, "other", "left")
             .select("item", "other", (F.col("score") + F.coalesce(shared, F.lit(0.0))).alias("score"))
         )
-    both = F.inline(
-        F.array(
-            F.struct("item", "other", "score"),
-            F.struct(F.col("other").alias("item"), F.col("item").alias("other"), "score"),
-        )
-    )
-    scored = half.select(both).select("item", "other", F.round("score", DIGITS).alias("score"))
+    scored = half.select("item", "other", F.round("score", DIGITS).alias("score"))
     if any_hot:
+        turned = scored.select(F.col("other").alias("item"), F.col("item").alias("other"), "score")
+        scored = scored.union(turned)
         # The full score of a pair is never below its hot part alone.
         scored = (
             scored.union(_block_top(hot, k, blocks)).groupBy("item", "other").agg(F.max("score").alias("score"))

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,8 +14,8 @@ from dunlin.cluster.dbscan_grid import dbscan_grid
 from dunlin.cluster.gmeans import anderson_darling, gmeans
 from dunlin.features import customers
 from dunlin.functions import times
-from dunlin.learn import classify, grouped, knn
-from dunlin.operators import joins
+from dunlin.learn import classify, grouped, knn, recommend
+from dunlin.operators import joins, sparse
 from dunlin.operators.neighbors import cluster_distances, knn_join
 from dunlin.operators.ordering import ranked
 from dunlin.operators.sparse import sparse_topk
@@ -478,3 +479,78 @@ def test_grid_birch_scores_each_threshold_on_its_own_summaries(spark):
     assert best["n_clusters"] == 3 and labels.count() == 120 and {r.grid for r in found} == {8}
     alone = [r.score for t in (0.2, 0.4) for r in grid.grid_birch(rows, names, both | {"threshold": [t]})[0].collect()]
     assert [r.score for r in found] == pytest.approx(alone, abs=0.02)
+
+
+def brute_topk(rows, k):
+    """``(item, rank, other, score)`` by plain sums over shared dimensions."""
+    got = set()
+    for i in {r[0] for r in rows}:
+        score = {}
+        for _, d, w in (r for r in rows if r[0] == i):
+            for j, e, v in rows:
+                if e == d and j != i:
+                    score[j] = score.get(j, 0.0) + w * v
+        best = sorted(score.items(), key=lambda e: (-round(e[1], 9), e[0]))[:k]
+        got |= {(i, n + 1, j, round(s, 9)) for n, (j, s) in enumerate(best)}
+    return got
+
+
+@pytest.mark.parametrize("hot_rows", [3, 1000])
+def test_sparse_topk_in_the_task_of_the_item(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(sparse, "LIST_ROWS", 0)  # no blocks for all items
+    rng = np.random.default_rng(5)
+    rows = [(i, f"d{j}", float(rng.integers(1, 6))) for i in range(40) for j in range(20) if rng.random() < 0.1]
+    df = spark.createDataFrame(rows, "item long, dim string, w double")
+    found = sparse_topk(df, "item", "dim", "w", 4, hot_rows)
+    assert {(r.item, r["rank"], r.other, r.score) for r in found.collect()} == brute_topk(rows, 4)
+    if hot_rows == 1000:  # rows to their dimension, lists to the item, nothing after that
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        final = plan.split("Initial Plan")[-1]
+        assert final.count("Exchange") == 2, plan
+
+
+def test_sparse_topk_scores_copies_once(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    kinds = [[(f"d{j}", float(rng.integers(1, 4))) for j in range(8) if rng.random() < 0.5] for _ in range(9)]
+    rows = [(i, d, w) for i in range(70) for d, w in kinds[i * i % 9]]
+    df = spark.createDataFrame(rows, "item long, dim string, w double")
+    given, whole = [], sparse._block_top
+    monkeypatch.setattr(sparse, "_block_top", lambda hot, *a, **b: given.append(hot.count()) or whole(hot, *a, **b))
+    got = {(r.item, r["rank"], r.other, r.score) for r in sparse_topk(df, "item", "dim", "w", 5).collect()}
+    assert got == brute_topk(rows, 5)
+    assert given and given[0] <= 9
+
+
+def test_block_scores_are_held_in_parts(monkeypatch):
+    monkeypatch.setattr(sparse, "BLOCK_ITEMS", 16)
+    rng = np.random.default_rng(7)
+    lists = [np.sort(rng.choice(30, 5, replace=False)) for _ in range(50)]
+    x = pd.DataFrame({"item": np.arange(50), "dims": lists, "ws": [rng.integers(1, 4, 5).astype(float) for _ in lists]})
+    shapes, whole = [], sparse._products
+    monkeypatch.setattr(sparse, "_products", lambda a, b: shapes.append((len(a), len(b))) or whole(a, b))
+    rows = [(r.item, d, w) for r in x.itertuples() for d, w in zip(r.dims, r.ws)]
+    best = sparse._block_scores(x, x, 3)
+    ranks = best.groupby("item").cumcount() + 1
+    got = {(i, n, j, s) for i, n, j, s in zip(best["item"], ranks, best["other"], best["score"])}
+    assert got == brute_topk(rows, 3)
+    assert max(max(s) for s in shapes) <= 16
+
+
+def test_predicted_ratings_are_shuffled_once_to_the_user(spark, monkeypatch):
+    monkeypatch.setattr(recommend, "TARGETS", 2)
+    rng = np.random.default_rng(8)
+    rated = [(u, i, float(rng.integers(1, 6))) for u in range(12) for i in range(15) if rng.random() < 0.3]
+    near = [(i, j, float(rng.random() * 1.2)) for i in range(15) for j in range(15) if i != j and rng.random() < 0.5]
+    ratings = spark.createDataFrame(rated, "user long, item long, rating double")
+    neighbors = spark.createDataFrame(near, "item long, neighbor long, distance double")
+    want, seen = {}, {(u, i) for u, i, _ in rated}
+    for u, i, r in rated:
+        for target, j, d in near:
+            if j == i and 1 - d > 0 and (u, target) not in seen:
+                s = want.setdefault((u, target), [0.0, 0.0])
+                s[0], s[1] = s[0] + (1 - d) * r, s[1] + 1 - d
+    best = recommend.recommend(ratings, neighbors, 100)
+    got = {(r.user, r.item): r.predicted for r in best.collect()}
+    assert got == {key: pytest.approx(a / b, abs=1e-8) for key, (a, b) in want.items()}
+    plan = best._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert "hashpartitioning(user" in plan and plan.count("hashpartitioning(user") == 1, plan
