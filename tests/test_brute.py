@@ -15,7 +15,7 @@ from dunlin.cluster.gmeans import anderson_darling, gmeans
 from dunlin.features import customers
 from dunlin.functions import times
 from dunlin.learn import classify, grouped, knn, recommend
-from dunlin.operators import joins, sparse
+from dunlin.operators import joins, neighbors, sparse
 from dunlin.operators.neighbors import cluster_distances, knn_join
 from dunlin.operators.ordering import ranked
 from dunlin.operators.sparse import sparse_topk
@@ -554,3 +554,15 @@ def test_predicted_ratings_are_shuffled_once_to_the_user(spark, monkeypatch):
     assert got == {key: pytest.approx(a / b, abs=1e-8) for key, (a, b) in want.items()}
     plan = best._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
     assert "hashpartitioning(user" in plan and plan.count("hashpartitioning(user") == 1, plan
+
+
+def test_distances_are_held_in_strips(monkeypatch):
+    cells, whole = [], neighbors._squared
+    monkeypatch.setattr(neighbors, "_squared", lambda a, b: cells.append(len(a)) or whole(a, b))
+    rng = np.random.default_rng(9)
+    q, r = rng.integers(0, 5, (700, 3)).astype(float), rng.integers(0, 5, (90, 3)).astype(float)
+    found = neighbors._nearest_in_block(np.arange(700), q, np.arange(90), r, 4)
+    assert max(cells) <= 256
+    exact = np.round(np.sqrt(((q[:, None] - r[None]) ** 2).sum(2)), 9)
+    want = [(i, j) for i in range(700) for j in np.lexsort((np.arange(90), exact[i]))[:4]]
+    assert list(zip(found["q"], found["r"])) == want
