@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dunlin.operators.joins import lookup_join
-from dunlin.session import materialize
+from dunlin.session import materialize, shuffle_width
 
+TASK_BYTES = 4 << 20  # bytes of text whose tokens one task counts
 TOKEN = r"[\p{L}\p{N}_]{2,}"  # runs of two or more word characters
 
 # Default stop words, replaceable by a parameter everywhere.
@@ -51,9 +53,12 @@ def bag_of_words(
     """Rows ``(row_id, term, n)``.
 
     Texts are placed by row id before they are cut into tokens, so counting,
-    and a later norm per row, need no second shuffle.
+    and a later norm per row, need no second shuffle. Tasks grow in number with
+    the bytes of the texts, not in size.
     """
-    placed = df.select(row_id, text).repartition(row_id)
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    tasks = max(shuffle_width(df.sparkSession), math.ceil(size / TASK_BYTES))
+    placed = df.select(row_id, text).repartition(tasks, row_id)
     terms = placed.select(row_id, F.explode(tokens(F.col(text))).alias("term"))
     if words:
         terms = terms.where(~F.col("term").isin(list(words)))

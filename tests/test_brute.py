@@ -12,7 +12,7 @@ from dunlin.cluster import dbscan as density
 from dunlin.cluster.components import connected_components
 from dunlin.cluster.dbscan_grid import dbscan_grid
 from dunlin.cluster.gmeans import anderson_darling, gmeans
-from dunlin.features import customers
+from dunlin.features import customers, text
 from dunlin.functions import times
 from dunlin.learn import classify, grouped, knn, recommend
 from dunlin.operators import joins, neighbors, sparse
@@ -566,3 +566,12 @@ def test_distances_are_held_in_strips(monkeypatch):
     exact = np.round(np.sqrt(((q[:, None] - r[None]) ** 2).sum(2)), 9)
     want = [(i, j) for i in range(700) for j in np.lexsort((np.arange(90), exact[i]))[:4]]
     assert list(zip(found["q"], found["r"])) == want
+
+
+def test_bags_are_counted_in_tasks_of_bounded_text(spark, monkeypatch):
+    monkeypatch.setattr(text, "TASK_BYTES", 20)
+    df = spark.createDataFrame([(i, f"word{i % 3} word{i % 3} more") for i in range(40)], "id long, t string")
+    bags = text.bag_of_words(df, "id", "t", ())
+    assert bags.rdd.getNumPartitions() == 40 * 16 // 20
+    want = {(i, f"word{i % 3}", 2) for i in range(40)} | {(i, "more", 1) for i in range(40)}
+    assert {tuple(r) for r in bags.collect()} == want
