@@ -175,6 +175,56 @@ def test_cluster_distances_in_blocks(spark):
         assert r.dist == pytest.approx(d[r.row, r.cluster :: 3].sum()) and r.n == 30
 
 
+def test_kmeans_sums_once_a_task(spark):
+    """Sums leave a task once, whatever its batches, and count ties and rows without a place as argmin does."""
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 4, size=(900, 2)).astype(float)
+    x[5, 1] = np.nan
+    centers = rng.integers(0, 4, size=(7, 3, 2)).astype(float)
+    weight = rng.integers(1, 4, size=900).astype(float)
+    got = kmeans._nearest_sums(x, weight, centers)
+    for f in range(7):
+        near = kmeans.squared_to(x, centers[f])
+        at = near.argmin(1)
+        for c in range(3):
+            own = at == c
+            assert got[0, f, c] == weight[own].sum()
+            assert got[1, f, c] == pytest.approx((weight * near[np.arange(900), at])[own].sum(), nan_ok=True)
+            assert got[2:, f, c] == pytest.approx((weight[:, None] * x)[own].sum(0), nan_ok=True)
+    rows = spark.createDataFrame([(i, i % 2, x[i].tolist()) for i in range(900) if i != 5], "row long, grp int, v array<double>")
+    fits = [kmeans.Fit(g, c) for g in range(2) for c in centers]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        sums = kmeans._sums(rows.coalesce(1), fits, list(range(14)))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    own = np.arange(900) % 2 == 1
+    at = kmeans.squared_to(x[own & (np.arange(900) != 5)], centers[2]).argmin(1)
+    assert sums[9][0].tolist() == np.bincount(at, minlength=3).tolist()
+
+
+def test_prepared_rows_lie_in_files_for_all_cores(spark):
+    df = spark.range(3000).select("id", F.rand(1).alias("x"), F.rand(2).alias("y"))
+    rows = grid.prepare(df, "id", ["x", "y"])
+    assert len(rows.inputFiles()) >= spark.sparkContext.defaultParallelism
+
+
+def test_silhouettes_leave_a_task_as_sums(spark):
+    """A single cluster, singletons and copies; the sums of a task equal the long way in several passes."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 2))
+    x[10:20] = x[0]
+    df = frame(spark, x).withColumn(
+        "c", F.array(F.lit(1), F.col("id").cast("int"), (F.col("id") % 3).cast("int"), F.when(F.col("id") < 5, -1).otherwise(4))
+    )
+    short = scores.squared_silhouettes(df, "v", "c")
+    assert "by_task" in short._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.labeling: r.silhouette for r in short.collect()}
+    long = {r.labeling: r.silhouette for r in scores.squared_silhouettes(df, "v", "c", most_values=30).collect()}
+    assert got == pytest.approx(long) and got[0] == -1 and got[1] == -1
+
+
 def test_anderson_darling(spark):
     rng = np.random.default_rng(4)
     y = {0: rng.normal(size=200), 1: rng.exponential(size=300)}
