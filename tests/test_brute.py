@@ -225,6 +225,23 @@ def test_silhouettes_leave_a_task_as_sums(spark):
     assert got == pytest.approx(long) and got[0] == -1 and got[1] == -1
 
 
+def test_dbscan_assign_dense_cell(spark, monkeypatch):
+    """First core row in order, nulls first, with cells in several blocks; pairs are tested in tasks."""
+    monkeypatch.setattr(density, "ASSIGN_ROWS", 40)
+    rng = np.random.default_rng(10)
+    p, q = rng.uniform(0, 3, size=(150, 2)), rng.uniform(0, 3, size=(130, 2))
+    new = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(p)] + [(200, None, 1.0)], "id long, x double, y double")
+    core = spark.createDataFrame(
+        [(f"n{i % 50:02}" if i else None, int(i), float(a), float(b)) for i, (a, b) in enumerate(q)], "core string, clusterId int, x double, y double"
+    )
+    d = np.sqrt(((p[:, None] - q[None]) ** 2).sum(2))
+    order = sorted(range(130), key=lambda i: (i > 0, i % 50, i))
+    want = {i: next((j for j in order if d[i, j] < 0.3), -1) for i in range(150)} | {200: -1}
+    got = density.dbscan_assign(new, core, "id", "core", ["x", "y"], 0.3)
+    assert {r.id: r.clusterId for r in got.collect()} == want
+    assert "FlatMapCoGroupsInArrow" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_anderson_darling(spark):
     rng = np.random.default_rng(4)
     y = {0: rng.normal(size=200), 1: rng.exponential(size=300)}
