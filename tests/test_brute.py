@@ -242,6 +242,15 @@ def test_dbscan_assign_dense_cell(spark, monkeypatch):
     assert "FlatMapCoGroupsInArrow" in got._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_nearest_in_block_of_any_size():
+    rng = np.random.default_rng(9)
+    for n, k in ((1, 3), (5, 5), (40, 3), (500, 7)):
+        q, r = rng.integers(0, 5, size=(60, 3)).astype(float), rng.integers(0, 5, size=(n, 3)).astype(float)
+        found = neighbors._nearest_in_block(np.arange(60), q, np.arange(n), r, k)
+        want = brute_knn(q, r, k, False)
+        assert {i: g["r"].tolist() for i, g in found.groupby("q")} == {i: list(v) for i, v in want.items()}
+
+
 def test_anderson_darling(spark):
     rng = np.random.default_rng(4)
     y = {0: rng.normal(size=200), 1: rng.exponential(size=300)}
