@@ -251,6 +251,23 @@ def test_nearest_in_block_of_any_size():
         assert {i: g["r"].tolist() for i, g in found.groupby("q")} == {i: list(v) for i, v in want.items()}
 
 
+def test_cluster_distances_tiles(spark):
+    """Each tile serves both of its sides, so few rows are shuffled."""
+    x = np.random.default_rng(5).normal(size=(600, 3))
+    df = frame(spark, x).withColumn("c", F.array((F.col("id") % 3).cast("int"), (F.col("id") % 50).cast("int")))
+    rows = cluster_distances(df, "id", "v", "c", block_rows=16)
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    found = rows.collect()
+    assert len(found) == 600 * 53
+    for r in found[::37]:
+        step = (3, 50)[r.labeling]
+        assert r.own == r.row % step and r.n == 600 // step
+        assert r.dist == pytest.approx(d[r.row, r.cluster :: step].sum())
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    wide = math.ceil(math.sqrt(4 * spark.sparkContext.defaultParallelism))
+    assert f", {wide})" in plan and f", {math.ceil(600 / 16)})" not in plan
+
+
 def test_anderson_darling(spark):
     rng = np.random.default_rng(4)
     y = {0: rng.normal(size=200), 1: rng.exponential(size=300)}
