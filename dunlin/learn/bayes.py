@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from dunlin.learn.classify import FEATURES, INDEX
 from dunlin.operators.joins import lookup_join
 from dunlin.operators.neighbors import as_double
+from dunlin.session import materialize
 
 
 def gaussian_nb() -> NaiveBayes:
@@ -40,10 +41,10 @@ def multinomial_parameters(
     ``weights`` is long form ``(row_id, term, tfidf)``; ``truth`` as from ``melt_labels``.
     """
     known = weights.join(truth, row_id)
-    sums = known.groupBy("label", "class", "term").agg(F.sum("tfidf").alias("w"))
+    sums = materialize(known.groupBy("label", "class", "term").agg(F.sum("tfidf").alias("w")), "sums")
     totals = sums.groupBy("label", "class").agg(F.sum("w").alias("total"))
     # All terms of the labelled rows: a class lacking a term still has its smoothed weight.
-    terms = known.groupBy("label", "term").agg(F.max(F.lit(1)).alias("one"))
+    terms = sums.groupBy("label", "term").agg(F.max(F.lit(1)).alias("one"))
     sizes = terms.groupBy("label").agg(F.count("*").alias("size"))
     classes = totals.join(sizes, "label")
     every = lookup_join(terms.select("label", "term"), classes.groupBy("label").agg(
@@ -64,12 +65,30 @@ def multinomial_parameters(
 def multinomial_predict(
     weights: DataFrame, table: DataFrame, prior: DataFrame, row_id: str
 ) -> DataFrame:
-    """Rows ``(row_id, label, predicted)``: the class of the largest log probability."""
-    per_term = table.groupBy("term").agg(F.collect_list(F.struct("label", "class", "logp")).alias("p"))
-    scored = lookup_join(weights, per_term, ["term"]).select(row_id, "tfidf", F.inline("p"))
-    sums = scored.groupBy(row_id, "label", "class").agg(F.sum(F.col("tfidf") * F.col("logp")).alias("s"))
-    total = lookup_join(sums, prior, ["label", "class"]).withColumn(
-        "s", F.round(F.col("s") + F.col("prior"), 9)
+    """Rows ``(row_id, label, predicted)``: the class of the largest log probability.
+
+    The classes of all labels are columns, so a term of a row stays one row; the driver sees the prior only.
+    """
+    known = prior.where(F.col("label").isNotNull() & F.col("class").isNotNull()).collect()
+    if not known:
+        return weights.crossJoin(prior).where(F.lit(False)).select(row_id, "label", F.col("class").alias("predicted"))
+    own = [(F.col("label") == r["label"]) & (F.col("class") == r["class"]) for r in known]
+    per_term = table.groupBy("term").agg(
+        *[F.sum(F.when(c, F.col("logp"))).alias(f"p{i}") for i, c in enumerate(own)],
+        *[F.max(c).alias(f"h{i}") for i, c in enumerate(own)],
+    )
+    scored = lookup_join(weights, per_term, ["term"])
+    sums = scored.groupBy(row_id).agg(
+        *[F.sum(F.col("tfidf") * F.col(f"p{i}")).alias(f"s{i}") for i in range(len(known))],
+        *[F.max(f"h{i}").alias(f"h{i}") for i in range(len(known))],
     )
+    each = [
+        F.struct(
+            F.lit(r["label"]).alias("label"), F.lit(r["class"]).cast(prior.schema["class"].dataType).alias("class"),
+            F.round(F.col(f"s{i}") + F.lit(r["prior"]), 9).alias("s"), F.coalesce(f"h{i}", F.lit(False)).alias("held"),
+        )
+        for i, r in enumerate(known)
+    ]
+    total = sums.select(row_id, F.inline(F.array(*each))).where("held")
     winner = F.max_by("class", F.struct("s", -F.col("class")))
     return total.groupBy(row_id, "label").agg(winner.alias("predicted"))

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from dunlin.cluster import kmeans
+from dunlin.learn import bayes
 
 
 def test_kmeans_holds_its_rows_once(spark, monkeypatch):
@@ -11,3 +12,22 @@ def test_kmeans_holds_its_rows_once(spark, monkeypatch):
     df = spark.range(40).select((F.col("id") % 2 * 9.0).alias("x"), F.col("id").cast("double").alias("y"))
     _, rows = kmeans.kmeans(df, ["x", "y"], 2)
     assert given == [False] * 3 and rows.select("clusterId").distinct().count() == 2
+
+
+def test_a_scored_term_stays_one_row(spark):
+    rows = [(d, f"t{i}", 0.1 + (d * 7 + i) % 5) for d in range(12) for i in range(d % 4 + 1)] + [(20, "unseen", 1.0)]
+    weights = spark.createDataFrame(rows, "doc_id long, term string, tfidf double")
+    truth = spark.createDataFrame(
+        [(d, c, v) for d in range(9) for c, v in (("a", d % 2), ("b", d % 3 if d else None))], "doc_id long, label string, class int"
+    )
+    table, prior = bayes.multinomial_parameters(weights, truth, "doc_id")
+    out = bayes.multinomial_predict(weights, table, prior, "doc_id")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [" in plan[plan.index("Generate"):]  # rows are summed before the classes are told apart
+    logp = {(r.label, r["class"], r.term): r.logp for r in table.collect()}
+    want = {}
+    for p in prior.where("class is not null").collect():
+        for d in range(12):
+            s = sum(w * logp[p.label, p["class"], t] for e, t, w in rows if e == d)
+            want.setdefault((d, p.label), []).append((round(s + p.prior, 9), -p["class"]))
+    assert {(r.doc_id, r.label): r.predicted for r in out.collect()} == {k: -max(v)[1] for k, v in want.items()}
