@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 
 from dunlin.features.encoding import one_hot_stages
 from dunlin.features.scaling import fit_standard
+from dunlin.operators.draws import first_drawn
 from dunlin.operators.frame import flag_mismatch
 from dunlin.operators.ordering import hash_order, ordered_split, ranked
-from dunlin.session import materialize
+from dunlin.session import materialize, widen
 
 FEATURES = "__features"
 INDEX = "__label"
+TASK_ROWS = 1 << 21  # rows of a bag that a task holds while trees grow
 MAX_BINS = 256  # split points per feature, and the most categories of an ordinal column
 
 
@@ -116,18 +118,15 @@ def train_classifier(
 def balanced_bags(df: DataFrame, row_id: str, label: str, bags: int, seed: int = 42) -> DataFrame:
     """Per bag as many rows of every class as the smallest class has: ``(bag, ...)``.
 
-    Rows are drawn without replacement by the rank of a hash of row and bag,
-    found by a range sort, so a class of any size is spread over tasks and the
-    same rows come back after a retry.
+    Rows are drawn without replacement by the rank of a hash of row and bag, found
+    from counts by its leading bits: no row is moved but those at the end of a draw.
+    The rows are written once, with their hashes, by all cores.
     """
-    size = df.groupBy(label).count().agg(F.min("count")).first()[0]
-    out = None
-    for bag in range(bags):
-        mixed = df.withColumn("__mix", hash_order(row_id, seed + bag))
-        picked = ranked(mixed, ["__mix", row_id], [label], name="__rank").where(F.col("__rank") < size)
-        one = picked.drop("__mix", "__rank").withColumn("bag", F.lit(bag))
-        out = one if out is None else out.union(one)
-    return out
+    mixes = F.array(*[hash_order(row_id, seed + bag) for bag in range(bags)])
+    rows = materialize(widen(df).withColumn("__mixes", mixes), "mixed")
+    size = rows.groupBy(label).count().agg(F.min("count")).first()[0]
+    mixed = rows.select(*df.columns, F.posexplode("__mixes").alias("bag", "__mix"))
+    return first_drawn(mixed, "__mix", row_id, [label, "bag"], F.lit(size)).drop("__mix")
 
 
 class BalancedBagging:
@@ -149,12 +148,14 @@ class BalancedBagging:
         names = StringIndexer(inputCol=label, outputCol=INDEX, stringOrderType="alphabetAsc").fit(train)
         self.labels = names.labels
         rows = names.transform(self.prepared.transform(train)).select(row_id, FEATURES, INDEX)
-        drawn = materialize(balanced_bags(rows, row_id, INDEX, self.bags, self.seed), "bags")
+        drawn = balanced_bags(rows, row_id, INDEX, self.bags, self.seed)
+        tasks = -(-train.count() // TASK_ROWS)  # files pack far more rows than a task can hold as vectors
+        few = train.sparkSession.sparkContext.defaultParallelism < tasks
         self.models = []
         for bag in range(self.bags):
-            part = drawn.where(F.col("bag") == bag).persist()
+            part = drawn.where(F.col("bag") == bag)  # not persisted: a fit keeps the rows in its own, smaller form
+            part = part.repartition(tasks, row_id) if few else part
             model = self.estimator.copy({self.estimator.getParam("seed"): self.seed + bag}).fit(part)
-            part.unpersist()
             self.models.append(
                 model.setProbabilityCol(f"__p{bag}").setRawPredictionCol(f"__r{bag}").setPredictionCol(f"__y{bag}")
             )

@@ -17,9 +17,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dunlin.features.encoding import categories, ordinal_encode
+from dunlin.operators.draws import first_drawn
 from dunlin.operators.joins import lookup_join
-from dunlin.operators.ordering import exact_quantiles, hash_order, ranked
-from dunlin.session import materialize
+from dunlin.operators.ordering import exact_quantiles, hash_order
+from dunlin.session import materialize, widen
 
 BINS = 256
 DEEPEST = 60  # a node's children are 2n and 2n + 1, in a long
@@ -147,16 +148,14 @@ def leaves(rows: DataFrame, trees: DataFrame) -> DataFrame:
 def draw_balanced(rows: DataFrame, bags: int, seed: int = 42) -> DataFrame:
     """Of rows ``(row, target, y)`` per target and bag as many of every class as the rarest has: adds ``bag``.
 
-    Rows are drawn without replacement by the rank of a hash of row and bag, found by one range
-    sort of narrow rows for all bags, so a class of any size is spread over tasks and the same
-    rows come back after a retry.
+    Rows are drawn without replacement by the rank of a hash of row and bag, found from counts by
+    its leading bits for all bags at once: no row is moved but those at the end of a draw.
     """
     sizes = rows.groupBy("target", "y").count().groupBy("target").agg(F.min("count").alias("size"))
-    every = rows.withColumn("bag", F.explode(F.sequence(F.lit(0), F.lit(bags - 1))))
-    mixed = every.withColumn("mix", hash_order("row", F.col("bag") + seed))
-    placed = ranked(mixed, ["mix", "row"], ["target", "bag", "y"], name="place")
-    drawn = placed.join(F.broadcast(sizes), "target").where(F.col("place") < F.col("size"))  # a row a target
-    return drawn.select(*rows.columns, "bag")
+    mixes = F.array(*[hash_order("row", seed + bag) for bag in range(bags)])
+    held = materialize(widen(rows).withColumn("mixes", mixes), "mixed")
+    mixed = held.select(*rows.columns, F.posexplode("mixes").alias("bag", "mix")).join(F.broadcast(sizes), "target")  # a row a target
+    return first_drawn(mixed, "mix", "row", ["target", "bag", "y"], F.col("size")).select(*rows.columns, "bag")
 
 
 class OrdinalTrees:
@@ -197,7 +196,7 @@ class OrdinalTrees:
             name: materialize(categories(train.select(F.col(c).alias(name)), name), "codes") for name, c in held.items()
         }
         labels = [F.col(t).alias(f"y{i}") for i, t in enumerate(self.targets)]
-        rows = materialize(self._numbers(train, [F.col(row_id).alias("row"), *labels]), "numbers")
+        rows = materialize(self._numbers(widen(train), [F.col(row_id).alias("row"), *labels]), "numbers")
         self.edges = bin_edges(rows, [f"f{i}" for i in range(len(self.features))], self.bins)
         self.classes = [
             sorted(r[0] for r in rows.where(F.col(f"y{i}").isNotNull()).select(f"y{i}").distinct().collect())
@@ -209,13 +208,15 @@ class OrdinalTrees:
         ]
         bins = F.array(*[bin_of(c, e).cast("int") for c, e in self.edges.items()]).alias("bins")
         ready = materialize(rows.select("row", F.array(*code).alias("ys"), bins), "binned")
-        melted = ready.select("row", F.posexplode("ys").alias("target", "y")).where(F.col("y").isNotNull())
         if self.bags is None:
             fits = ready.select(F.posexplode("ys").alias("fit", "y"), "bins")
         else:
-            drawn = draw_balanced(melted, self.bags, self.seed)
-            fit = (F.col("target") * self.bags + F.col("bag")).alias("fit")
-            fits = drawn.select("row", fit, "y").join(ready.select("row", "bins"), "row").select("fit", "y", "bins")
+            again = not ready.where(F.col("row").isNotNull()).groupBy("row").count().where("count > 1").isEmpty()
+            own = ["row"] if again else ["row", "bins"]  # rows of one id each stand for all of them
+            melted = ready.select(*own, F.posexplode("ys").alias("target", "y")).where(F.col("y").isNotNull())
+            drawn = draw_balanced(melted, self.bags, self.seed).where(F.col("row").isNotNull())
+            drawn = drawn.join(ready.select("row", "bins"), "row") if again else drawn
+            fits = drawn.select((F.col("target") * self.bags + F.col("bag")).alias("fit"), "y", "bins")
         fits = materialize(fits, "members")
         self.trees = grow(fits, max(1, *map(len, self.classes)), self.max_depth)
         return self

@@ -1,9 +1,13 @@
 """Steps whose time or memory grew faster than their input, or held it twice."""
 
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from dunlin.cluster import kmeans
-from dunlin.learn import bayes
+from dunlin.learn import bayes, classify
+from dunlin.operators import draws
+from dunlin.operators.ordering import hash_order
 
 
 def test_kmeans_holds_its_rows_once(spark, monkeypatch):
@@ -14,6 +18,19 @@ def test_kmeans_holds_its_rows_once(spark, monkeypatch):
     assert given == [False] * 3 and rows.select("clusterId").distinct().count() == 2
 
 
+@pytest.mark.parametrize("size", [0, 1, 37, 5000])
+def test_draw_ranks_only_rows_at_its_end(spark, monkeypatch, size):
+    ranked, whole = [], draws.ranked
+    monkeypatch.setattr(draws, "ranked", lambda df, *a, **b: ranked.append(df.count()) or whole(df, *a, **b))
+    df = spark.range(4000).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"))
+    df = df.withColumn("mix", hash_order("id", 5))
+    place = F.row_number().over(Window.partitionBy("g").orderBy("mix", "id"))
+    want = df.withColumn("place", place).where(F.col("place") <= size).drop("place")
+    got = draws.first_drawn(df, "mix", "id", ["g"], F.lit(size))
+    assert sorted(r.id for r in got.collect()) == sorted(r.id for r in want.collect())
+    assert len(ranked) == 1 and ranked[0] <= 30  # the leading bits of three groups
+
+
 def test_a_scored_term_stays_one_row(spark):
     rows = [(d, f"t{i}", 0.1 + (d * 7 + i) % 5) for d in range(12) for i in range(d % 4 + 1)] + [(20, "unseen", 1.0)]
     weights = spark.createDataFrame(rows, "doc_id long, term string, tfidf double")
@@ -31,3 +48,25 @@ def test_a_scored_term_stays_one_row(spark):
             s = sum(w * logp[p.label, p["class"], t] for e, t, w in rows if e == d)
             want.setdefault((d, p.label), []).append((round(s + p.prior, 9), -p["class"]))
     assert {(r.doc_id, r.label): r.predicted for r in out.collect()} == {k: -max(v)[1] for k, v in want.items()}
+
+
+def test_bags_of_many_rows_are_dealt_to_more_tasks(spark, monkeypatch):
+    df = spark.range(2000).select("id", (F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 2).cast("string").alias("y"))
+    parts = []
+
+    class Spy(classify.DecisionTreeClassifier):
+        def fit(self, df, params=None):
+            parts.append((df.rdd.getNumPartitions(), df.count()))
+            return super().fit(df, params)
+
+        def copy(self, extra=None):
+            other = super().copy(extra)
+            other.__class__ = Spy
+            return other
+
+    grown = classify.tree()
+    grown.__class__ = Spy
+    monkeypatch.setattr(classify, "TASK_ROWS", 100, raising=False)
+    model = classify.BalancedBagging(grown, 2).fit(df, "id", "y", ["x"])
+    assert parts == [(20, 2000)] * 2
+    assert model.transform(df).count() == 2000
