@@ -86,7 +86,8 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     codec = public_codec(spark)
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     named = docs.select("text", F.struct("doc_id", F.sha2(text, 256).alias("sha256")).alias("name"))
-    back = decode_ids(encode_texts(named, codec, "name"), codec)
+    # Written in between, so that the workers that encoded also decode: a task needs one, with one vocabulary.
+    back = decode_ids(materialize(encode_texts(named, codec, "name"), "ids"), codec)
     return back.select(
         F.col("id.doc_id").alias("doc_id"),
         F.size("ids").cast("long").alias("n_tokens"),

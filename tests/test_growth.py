@@ -1,5 +1,6 @@
 """Steps whose time or memory grew faster than their input, or held it twice."""
 
+import corpus_pipeline
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -10,6 +11,13 @@ from dunlin.operators import draws
 from dunlin.operators.ordering import hash_order
 
 
+def test_tokens_are_written_before_they_are_decoded(spark):
+    docs = spark.createDataFrame([(1, "two words"), (None, None)], "doc_id long, text string")
+    out = corpus_pipeline.tokenize(spark, docs, "")
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1  # one Python worker a task
+    assert sorted((r.doc_id or 0, r.exact, len(r.ids) == r.n_tokens) for r in out.collect()) == [(0, True, True), (1, True, True)]
+
+
 def test_kmeans_holds_its_rows_once(spark, monkeypatch):
     given, fit = [], kmeans.KMeans.fit
     monkeypatch.setattr(kmeans.KMeans, "fit", lambda self, df: given.append(df.storageLevel.useMemory) or fit(self, df))
