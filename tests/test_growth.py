@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dunlin.cluster import kmeans
 from dunlin.learn import bayes, classify
-from dunlin.operators import draws
+from dunlin.operators import draws, joins
 from dunlin.operators.ordering import hash_order
 
 
@@ -78,3 +78,21 @@ def test_bags_of_many_rows_are_dealt_to_more_tasks(spark, monkeypatch):
     model = classify.BalancedBagging(grown, 2).fit(df, "id", "y", ["x"])
     assert parts == [(20, 2000)] * 2
     assert model.transform(df).count() == 2000
+
+
+def test_near_pairs_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(joins, "TASK_PAIRS", 512, raising=False)
+    a = spark.range(300).select("id", (F.col("id") % 7 / 2).alias("x"), F.when(F.col("id") != 9, F.col("id") % 2 * 1.0).alias("y"))
+    b = a.select(F.col("id").alias("other"), "x", "y").where("other < 90")
+    out = joins.eps_join(a, b, ["x", "y"], 1.1).select("id", "other", "distance", F.spark_partition_id().alias("part"))
+    rows = out.collect()
+    at = {r.id: (r.x, r.y) for r in a.collect() if r.y is not None}
+    near = {(i, j): ((p[0] - q[0]) ** 2 + (p[1] - q[1]) ** 2) ** 0.5 for i, p in at.items() for j, q in at.items() if j < 90}
+    assert {(r.id, r.other): r.distance for r in rows} == {k: d for k, d in near.items() if d <= 1.1}
+    assert len(rows) == len({(r.id, r.other) for r in rows}) and len({r.part for r in rows}) > 8
+
+
+def test_rounded_is_round(spark):
+    values = [0.0, 2.5, 0.1234565, 1.0000005, 2.4999995, 2.0 / 3, -0.0000015, 1e300, float("nan"), None, *[i / 4096e3 for i in range(3000)]]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select(F.round("v", 6).alias("a"), joins.rounded("v", 6).alias("b"))
+    assert df.where("not a <=> b").count() == 0
