@@ -1,11 +1,12 @@
 """Steps whose time or memory grew faster than their input, or held it twice."""
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from dunlin.cluster import kmeans
+from dunlin.cluster import kmeans, spectral
 from dunlin.learn import bayes, classify
 from dunlin.operators import draws, joins
 from dunlin.operators.ordering import hash_order
@@ -96,3 +97,32 @@ def test_rounded_is_round(spark):
     values = [0.0, 2.5, 0.1234565, 1.0000005, 2.4999995, 2.0 / 3, -0.0000015, 1e300, float("nan"), None, *[i / 4096e3 for i in range(3000)]]
     df = spark.createDataFrame([(v,) for v in values], "v double").select(F.round("v", 6).alias("a"), joins.rounded("v", 6).alias("b"))
     assert df.where("not a <=> b").count() == 0
+
+
+def test_a_spectral_step_sends_borders_only(spark, monkeypatch):
+    sent, whole = [], spectral.materialize
+    monkeypatch.setattr(spectral, "BLOCK_ROWS", 60, raising=False)
+    monkeypatch.setattr(spectral, "materialize", lambda df, label: sent.append((label, whole(df, label))) or sent[-1][1])
+    # 100 rows are equal, so the first of them have many links; groups are never linked
+    points = [[0.0, 0.0] if i < 100 else [i * 37 % 101 / 50, i % 100 / 40] for i in range(400)]
+    df = spark.createDataFrame([(i, i % 2, p) for i, p in enumerate(points)], "row long, grp int, v array<double>")
+    df = df.union(spark.sql("SELECT 900L, 7, array(0D, 0D)"))  # alone in its group
+    pairs = spectral.neighbours(df, 4)
+    got = {r.row: r.v for r in spectral.embed(df, pairs, 1.0, 20).collect()}
+
+    weights = np.zeros((400, 400))
+    for r in pairs.collect():
+        weights[r.src, r.dst] = weights[r.dst, r.src] = max(np.exp(-r.distance**2), spectral.LEAST_WEIGHT)
+    degree = weights.sum(1)
+    start = spark.range(400).select("id", *[hash_order("id", i).alias(f"v{i}") for i in (1, 2, 3)]).orderBy("id").collect()
+    now, past = np.array([[d, *[h / 2**32 - 0.5 for h in r[1:]]] for d, r in zip(degree, start)]), None
+    for _ in range(20):
+        new = (2 * (weights / degree[:, None]) @ now - (spectral.DAMPED - 1) * now) / (spectral.DAMPED + 1)
+        now, past = (new if past is None else 2 * new - past), now
+    for g in (0, 1):
+        own = now[g::2]
+        want = (own - own.mean(0)) / own.std(0)
+        assert np.abs(np.array([got[i] for i in range(g, 400, 2)]) - want).max() < 1e-9
+    assert got[900] == [0.0] * 4 and len(got) == 401
+    steps = [df.count() for label, df in sent if label == "values"]
+    assert len(steps) > 20 and max(steps[:-1]) < 200  # messages between blocks, no row per row or link
