@@ -41,6 +41,7 @@ SHORT = 64  # columns of more rows are multiplied in blocks
 BLOCK = 4096  # rows of such a block, on average at most
 CELLS = 1 << 19  # shingles of such a block, on average at most
 PART = 256, 2048  # rows and columns multiplied at a time
+SLICE = 512  # texts whose shingles a task holds at a time
 SEEN = 1 << 20  # sets that a task remembers, so as to send copies once
 FILTER_BITS = 28  # the broadcast filter has at most 2 ** 28 bits, 32 MB
 
@@ -52,6 +53,10 @@ def _binary(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     return batch.column(name).cast(pa.binary()).to_pylist()
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return (batch.slice(at, SLICE) for batch in batches for at in range(0, batch.num_rows, SLICE))
+
+
 def _fresh(key: int, seen: set[int]) -> bool:
     if key in seen:
         return False
@@ -69,7 +74,7 @@ def shingle_profile(docs: DataFrame, id_col: str, text_col: str, size: int = 5)
     """
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             sets = list(shingle_sets(_binary(batch, "text"), size))
             n = pa.array([len(s) for s in sets], pa.int64())
             zone = pa.array([_in_zone(s) for s in sets], pa.int32())
@@ -97,7 +102,7 @@ def _columns(texts: DataFrame, percent: int, size: int) -> DataFrame:
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in _slices(batches):
             columns, keys = [], []
             for s in shingle_sets(_binary(batch, "text"), size):
                 if len(s) and _fresh(key := set_key(s), seen):
@@ -188,7 +193,7 @@ def _full_rows(texts: DataFrame, keys: DataFrame, size: int) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = wanted.value, set()
-        for batch in batches:
+        for batch in _slices(batches):
             found = []
             for s in shingle_sets(_binary(batch, "text"), size):
                 if len(s):
@@ -196,8 +201,8 @@ def _full_rows(texts: DataFrame, keys: DataFrame, size: int) -> DataFrame:
                     slot = key % (len(bits) * 8)
                     if bits[slot >> 3] >> (7 - (slot & 7)) & 1 and _fresh(key, seen):
                         found.append((key, s.tobytes()))
-            for i in range(0, len(found), 1000):
-                key, cells = (pa.array(c, t) for c, t in zip(zip(*found[i : i + 1000]), types))
+            if found:
+                key, cells = (pa.array(c, t) for c, t in zip(zip(*found), types))
                 yield pa.RecordBatch.from_arrays([key, cells], ["key", "cells"])
 
     types = (pa.int64(), pa.binary())

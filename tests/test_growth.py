@@ -2,12 +2,14 @@
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from dunlin.cluster import kmeans, spectral
 from dunlin.learn import bayes, classify
+from dunlin.llm import ngram_join
 from dunlin.operators import draws, joins
 from dunlin.operators.ordering import hash_order
 
@@ -126,3 +128,10 @@ def test_a_spectral_step_sends_borders_only(spark, monkeypatch):
     assert got[900] == [0.0] * 4 and len(got) == 401
     steps = [df.count() for label, df in sent if label == "values"]
     assert len(steps) > 20 and max(steps[:-1]) < 200  # messages between blocks, no row per row or link
+
+
+def test_shingles_of_few_texts_are_held_at_a_time():
+    texts = pa.RecordBatch.from_arrays([pa.array(range(1200))], ["id"])
+    parts = list(ngram_join._slices(iter([texts, texts.slice(0, 0), texts.slice(0, 5)])))
+    assert [p.num_rows for p in parts] == [512, 512, 176, 5]
+    assert [i for p in parts[:3] for i in p.column("id").to_pylist()] == list(range(1200))
