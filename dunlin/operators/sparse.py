@@ -11,17 +11,24 @@ dimensions with more go through the blocks. They are never expanded into pairs
 of rows. An item with a top score either shares a small dimension, and is then
 scored in full, or owes its score to the hot ones alone. In blocks, items with
 the same entries are scored once.
+
+Lists that are shuffled to each of their items take as much disk as there are
+pairs. Beyond ``SHUFFLED_PAIRS`` pairs the lists are written once and each task
+reads all of them for its share of the items (``operators/scans.py``).
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dunlin.operators import scans
 from dunlin.operators.joins import lookup_join, salted_join
 from dunlin.operators.ordering import ranked, top_per_group
 from dunlin.session import materialize, shuffle_width
@@ -31,6 +38,7 @@ BLOCK_ITEMS = 2048  # rows per side of one matrix of scores
 BLOCK_ENTRIES = 500_000  # entries per side of a block pair, on average
 PAIR_CELLS = 20  # cells of a matrix of scores that cost as much as one pair of rows
 TASK_PAIRS = 1_500_000  # pairs of items that one task sums
+SHUFFLED_PAIRS = 10_000_000  # pairs of rows that may be shuffled; lists of more are read by every task
 LIST_ROWS = 1_000_000  # entries one item may bring into a task
 SLICE = 4_000_000  # products formed at a time
 DIGITS = 9
@@ -174,6 +182,66 @@ def _top_by_class(lists: DataFrame, k: int, blocks: int) -> DataFrame:
     return salted_join(member, hits, ["class"]).select("item", F.inline("hits")).where("item <> other")
 
 
+def _task_of(items: np.ndarray, tasks: int) -> np.ndarray:
+    """A task from 0 for each item, by the leading bits of a product."""
+    mixed = items.astype("uint64") * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
+    return mixed * np.uint64(tasks) >> np.uint64(32)
+
+
+def _scanned_top(rows: DataFrame, k: int, n_rows: int, pairs: float, lowest: int, highest: int) -> DataFrame:
+    """Best ``k`` other items of every item of ``(item, dim, w)``; a task scores its items on one reading of all lists."""
+    kind = "int32" if -(1 << 31) <= lowest and highest < 1 << 31 else "int64"
+    known = rows.where("dim is not null and item is not null").repartition(scans.scan_files(rows, n_rows), "dim")
+    entry = F.struct("item", F.coalesce("w", F.lit(0.0)).alias("w"))
+    lists = known.groupBy("dim").agg(F.collect_list(entry).alias("e")).where(F.size("e") > 1).select("e")
+    names = ["items", "weights", "sizes"]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("e")
+            item, weight = (lists.flatten().field(c).to_numpy(zero_copy_only=False) for c in ("item", "w"))
+            sizes = np.diff(lists.offsets.to_numpy())
+            columns = item.astype(kind), weight, sizes.astype("int32")
+            yield pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in columns], names)
+
+    files = materialize(lists.mapInArrow(pack, ", ".join(f"{n} binary" for n in names)), "lists").inputFiles()
+    tasks = scans.scan_tasks(rows, 2 * pairs)
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for task in (t for batch in batches for t in batch.column("id").to_pylist()):
+            held = scans.Products()
+            for chunk in (c for table in scans.tables(files) for c in zip(*(table[n] for n in names))):
+                items, weights, sizes = (np.frombuffer(c.as_buffer(), t) for c, t in zip(chunk, (kind, "float64", "int32")))
+                firsts = sizes.cumsum(dtype="int64") - sizes
+                mine = np.flatnonzero(_task_of(items, tasks) == task)
+                at = np.searchsorted(firsts, mine, "right") - 1
+                run = scans.runs(firsts[at], sizes[at])
+                held.add(items[mine], sizes[at], weights[mine], items[run], weights[run])
+            for owners, owner, own, other, weight in held.by_owner():
+                owner, other, score = scans.summed(owner, other, own * weight)
+                score = np.round(score, DIGITS)
+                kept = (owners[owner] != other) & (score > 0)
+                owner, other, score = owner[kept], other[kept], score[kept]
+                at, rank = scans.best_of_each(owner, score, k, DIGITS)
+                columns = owners[owner[at]].astype("int64"), other[at].astype("int64"), score[at], rank.astype("int32")
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["item", "other", "score", "rank"])
+
+    numbers = rows.sparkSession.range(0, tasks, 1, tasks)
+    return materialize(numbers.mapInArrow(best, "item long, other long, score double, rank int"), "top")
+
+
+def _hot_from(sizes: DataFrame, hot_rows: int) -> int:
+    """Items from which on a dimension is hot: a few larger ones cost less in lists than as hot ones."""
+    counts = sorted((r["n"], r["dims"]) for r in sizes.groupBy("n").agg(F.count("*").alias("dims")).collect())
+    base, total, most = sum(n * n * dims for n, dims in counts if n <= hot_rows), 0, hot_rows
+    for n, dims in counts:
+        total += n * n * dims
+        if total > 2 * base:
+            break
+        most = max(most, n)
+    return most
+
+
 def sparse_topk(
     df: DataFrame, item: str, dim: str, weight: str, k: int, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
@@ -191,13 +259,15 @@ def sparse_topk(
     if not n_rows:
         return rows.select("item", F.col("item").alias("other"), F.lit(0.0).alias("score"), F.lit(1).alias("rank"))
     per_item = rows.groupBy("item").agg(F.count("*").alias("n"))
-    items, longest = per_item.agg(F.count("*"), F.max("n")).first()
+    items, longest, *ends = per_item.agg(F.count("*"), F.max("n"), F.min("item"), F.max("item")).first()
     cores = df.sparkSession.sparkContext.defaultParallelism
     blocks = max(math.ceil(n_rows / BLOCK_ENTRIES), min(math.isqrt(16 * cores), math.ceil(items / 128)))
     if n_rows * blocks <= pairs and items * items <= PAIR_CELLS * pairs and longest <= LIST_ROWS:
         coded = lookup_join(rows, ranked(sizes.select("dim"), ["dim"], name="code"), ["dim"])
         best = _top_by_class(_as_lists(coded), k, blocks)
         return top_per_group(best, ["item"], [F.desc("score"), F.col("other")], k)
+    if pairs > SHUFFLED_PAIRS:
+        hot_rows = _hot_from(sizes.where("dim is not null"), hot_rows)
     hot_dims = materialize(sizes.where(F.col("n") > hot_rows).select("dim"), "hot")
     any_hot = bool(hot_dims.limit(1).count())
     if any_hot:
@@ -205,6 +275,8 @@ def sparse_topk(
         coded = lookup_join(rows, codes, ["dim"], "left")
         light = coded.where(F.col("code").isNull()).select("item", "dim", "w")
     else:
+        if pairs > SHUFFLED_PAIRS and items > 1:
+            return _scanned_top(rows, k, n_rows, pairs, *ends)
         light = rows
     entries = light.where("dim is not null").groupBy("dim").agg(F.collect_list(F.struct("item", "w")).alias("e"))
     entries = entries.select(F.inline("e"), F.col("e.item").alias("others"), F.col("e.w").alias("ws"))

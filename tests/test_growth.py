@@ -1,5 +1,7 @@
 """Steps whose time or memory grew faster than their input, or held it twice."""
 
+import time
+
 import corpus_pipeline
 import numpy as np
 import pyarrow as pa
@@ -8,9 +10,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from dunlin.cluster import kmeans, spectral
+from dunlin import session
 from dunlin.learn import bayes, classify
 from dunlin.llm import ngram_join
-from dunlin.operators import draws, joins
+from dunlin.operators import draws, joins, sparse
 from dunlin.operators.ordering import hash_order
 
 
@@ -135,3 +138,50 @@ def test_shingles_of_few_texts_are_held_at_a_time():
     parts = list(ngram_join._slices(iter([texts, texts.slice(0, 0), texts.slice(0, 5)])))
     assert [p.num_rows for p in parts] == [512, 512, 176, 5]
     assert [i for p in parts[:3] for i in p.column("id").to_pylist()] == list(range(1200))
+
+
+def test_a_written_step_leaves_no_shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def held():
+        return {f for f in disk.getAllFiles().mkString(" ").split() if "shuffle_" in f}
+
+    before = held()
+    step = session.materialize(spark.range(5000).repartition(5).groupBy((F.col("id") % 7).alias("g")).count())
+    until = time.time() + 20
+    while held() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not held() - before and step.count() == 7
+    assert spark.conf.get(session.CLEANUP, None) is None
+
+
+@pytest.mark.parametrize("large", [0, 1 << 40])
+@pytest.mark.parametrize("group", [1, 1 << 18])
+def test_pairs_beyond_a_bound_are_not_shuffled(spark, monkeypatch, large, group):
+    monkeypatch.setattr(sparse, "SHUFFLED_PAIRS", 0, raising=False)
+    monkeypatch.setattr(sparse, "LIST_ROWS", 0)
+    monkeypatch.setattr(sparse.scans, "GROUP_PRODUCTS", group)
+    monkeypatch.setattr(sparse.scans, "LEAST_PRODUCTS", 50)
+    rng = np.random.default_rng(11)
+    rows = [(i * 3 - 9 + large, f"d{j}", float(rng.integers(1, 6))) for i in range(50) for j in range(25) if rng.random() < 0.12]
+    rows += rows[:9]  # twice
+    odd = [(None, "d1", 2.0), (3 + large, None, 2.0), (9000 + large, None, 1.0), (9001 + large, "alone", 1.0), (9002 + large, "d1", None)]
+    df = spark.createDataFrame(rows + odd, "item long, dim string, w double")
+    found = sparse.sparse_topk(df, "item", "dim", "w", 4)
+    want = set()
+    for i in {r[0] for r in rows}:
+        score = {}
+        for _, d, w in (r for r in rows if r[0] == i):
+            for j, e, v in rows:
+                if e == d and j != i:
+                    score[j] = score.get(j, 0.0) + w * v
+        best = sorted(score.items(), key=lambda e: (-round(e[1], 9), e[0]))[:4]
+        want |= {(i, n + 1, j, s) for n, (j, s) in enumerate(best)}
+    assert {(r.item, r["rank"], r.other, r.score) for r in found.collect()} == want
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_few_larger_dimensions_are_lists_too(spark):
+    sizes = spark.createDataFrame([("a", 4), ("b", 5), ("c", 6), ("d", 60)], "dim string, n long")
+    assert sparse._hot_from(sizes, 5) == 6
+    assert sparse._hot_from(sizes, 4) == 4
