@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from dunlin.cluster import kmeans, spectral
 from dunlin import session
-from dunlin.learn import bayes, classify
+from dunlin.learn import bayes, classify, recommend
 from dunlin.llm import ngram_join
 from dunlin.operators import draws, joins, sparse
 from dunlin.operators.ordering import hash_order
@@ -185,3 +185,38 @@ def test_a_few_larger_dimensions_are_lists_too(spark):
     sizes = spark.createDataFrame([("a", 4), ("b", 5), ("c", 6), ("d", 60)], "dim string, n long")
     assert sparse._hot_from(sizes, 5) == 6
     assert sparse._hot_from(sizes, 4) == 4
+
+
+@pytest.mark.parametrize("user", ["long", "string"])
+def test_targets_of_many_ratings_are_not_shuffled(spark, monkeypatch, user):
+    monkeypatch.setattr(recommend, "SHUFFLED_RATINGS", 0, raising=False)
+    monkeypatch.setattr(recommend, "TARGETS", 2)
+    rng = np.random.default_rng(8)
+    rated = [(u, i, float(rng.integers(1, 6))) for u in range(12) for i in range(15) if rng.random() < 0.3]
+    near = [(i, j, float(rng.random() * 1.2)) for i in range(15) for j in range(15) if i != j and rng.random() < 0.5]
+    rated += [(None, 3, 2.0), (None, 4, 5.0), (40, 2, None), (41, None, 3.0)]
+    ratings = spark.createDataFrame(rated, "user long, item long, rating double").withColumn("user", F.col("user").cast(user))
+    neighbors = spark.createDataFrame(near, "item long, neighbor long, distance double")
+    want, seen = {}, {(u, i) for u, i, _ in rated if u is not None}
+    for u, i, r in rated:
+        for target, j, d in near:
+            if j == i and 1 - d > 0 and (u, target) not in seen:
+                s = want.setdefault((u, target), [0.0, 0.0, 0])
+                s[0], s[1], s[2] = s[0] + (1 - d) * (r or 0.0), s[1] + 1 - d, s[2] + (r is not None)
+    want = {key: a / b if n else None for key, (a, b, n) in want.items()}
+
+    def number(u):
+        return u if u is None else int(u)
+
+    got = {(number(r.user), r.item): r.predicted for r in recommend.predict_ratings(ratings, neighbors).collect()}
+    assert got == {key: v if v is None else pytest.approx(v, abs=1e-9) for key, v in want.items()}
+    best = recommend.recommend(ratings, neighbors, 2)
+    assert best.columns == ["user", "item", "predicted", "rank"]
+    order = {}
+    for (u, i), v in want.items():
+        order.setdefault(u, []).append((v is None, 0.0 if v is None else -round(v, 9), i))
+    assert {(number(r.user), r["rank"]): r.item for r in best.collect()} == {
+        (u, n + 1): i for u, e in order.items() for n, (_, _, i) in enumerate(sorted(e)[:2])
+    }
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning(user") <= 2  # the second one is the initial plan
