@@ -40,6 +40,8 @@ PAIR_CELLS = 20  # cells of a matrix of scores that cost as much as one pair of
 TASK_PAIRS = 1_500_000  # pairs of items that one task sums
 SHUFFLED_PAIRS = 10_000_000  # pairs of rows that may be shuffled; lists of more are read by every task
 LIST_ROWS = 1_000_000  # entries one item may bring into a task
+SUBSET_CLASSES = 50_000  # kinds of items that meet in blocks; more of them meet by the dimensions they share
+SUBSET_DIMS = 10  # dimensions of an item whose subsets are listed, at most
 SLICE = 4_000_000  # products formed at a time
 DIGITS = 9
 
@@ -156,6 +158,59 @@ def _block_top(hot: DataFrame, k: int, blocks: int, same: bool = False) -> DataF
     )
 
 
+def _subset_top(classes: DataFrame, lowest: DataFrame, k: int, most: int) -> DataFrame:
+    """Rows ``(class, other, score)``: the ``k`` best items of every class, itself included, by shared subsets of dimensions.
+
+    ``classes`` has ``(class, dims, ws)`` with at most ``most`` dimensions, ``lowest`` the ``k`` lowest
+    items of a class as ``others``. Items that share a set of dimensions, with the same weights in it, are a
+    group; only its ``k`` lowest can be among the best of a class through that set. Sets get smaller by a
+    dimension in each round, until the best of a class are beyond what the smaller ones can give.
+    """
+    entries = classes.select("class", F.inline(F.arrays_zip("dims", "ws")))
+    entries = materialize(entries.groupBy("class", "dims").agg(F.sum("ws").alias("ws")), "entries")  # an item may have one twice
+    largest = entries.groupBy("dims").agg(F.max("ws").alias("largest"))
+    whole = lookup_join(entries, largest, ["dims"]).groupBy("class").agg(
+        F.sort_array(F.collect_list(F.struct("dims", "ws"))).alias("e"),
+        F.sort_array(F.collect_list(F.col("ws") * F.col("largest"))).alias("terms"),
+    )
+    classes = whole.select("class", F.col("e.dims").alias("dims"), F.col("e.ws").alias("ws"), "terms").join(lowest, "class")
+    # The largest score of a set with ``i + 1`` dimensions less than the class.
+    beyond = F.transform("terms", lambda _, i: F.aggregate(F.slice("terms", i + 2, F.size("terms")), F.lit(0.0), lambda s, t: s + t))
+    classes = materialize(classes.select("class", "dims", "ws", "others", beyond.alias("beyond")), "classes")
+    width = max(shuffle_width(classes.sparkSession), math.ceil(classes.count() * k / TASK_PAIRS))
+
+    def sets(df: DataFrame, n: int) -> DataFrame:
+        """Rows of ``df`` with each of their sets of ``n`` dimensions ``set`` and weights ``held``."""
+        masks = F.expr(f"filter(sequence(1L, shiftleft(1L, size(dims)) - 1L), m -> bit_count(m) = {n})")
+        each = df.where(F.size("dims") >= n).withColumn("mask", F.explode(masks))
+        kept = [F.expr(f"filter({c}, (x, i) -> getbit(mask, i) = 1)") for c in ("dims", "ws")]
+        return each.select("*", kept[0].alias("set"), kept[1].alias("held")).drop("dims", "ws", "mask")
+
+    open_ = classes.select("class", "dims", "ws", "beyond")
+    best = None
+    for n in range(most, 0, -1):
+        wanted = materialize(sets(open_, n).select("class", "set", F.col("held").alias("own")), "sets")
+        groups = sets(classes.select("dims", "ws", "others"), n)
+        if n < most:
+            groups = lookup_join(groups, wanted.select("set").distinct(), ["set"])
+        groups = top_per_group(groups.withColumn("other", F.explode("others")).drop("others"), ["set", "held"], [F.col("other")], k)
+        groups = groups.groupBy("set", "held").agg(F.collect_list("other").alias("others"))
+        score = F.aggregate(F.zip_with("own", "held", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
+        found = salted_join(wanted, groups, ["set"]).select("class", "others", F.round(score, DIGITS).alias("score"))
+        if best is not None:
+            found = found.unionByName(best.select("class", F.array("other").alias("others"), "score"))
+        found = found.where(F.col("score") > 0).repartition(width, "class")
+        found = found.select("class", F.explode("others").alias("other"), "score").groupBy("class", "other").agg(F.max("score").alias("score"))
+        best = materialize(top_per_group(found, ["class"], [F.desc("score"), F.col("other")], k), "best")
+        last = best.where(F.col("rank") == k).select("class", F.col("score").alias("last"))
+        smaller = F.when(F.size("dims") >= n, F.col("beyond")[F.size("dims") - n]) + 10.0**-DIGITS  # scores are rounded
+        left = open_.join(last, "class", "left").where(F.col("last").isNull() | smaller.isNull() | (F.col("last") <= smaller))
+        open_ = materialize(left.drop("last"), "open")
+        if not open_.limit(1).count():
+            break
+    return best.drop("rank")
+
+
 def _top_by_class(lists: DataFrame, k: int, blocks: int) -> DataFrame:
     """Best ``k`` other items of every item; items with the same entries are scored once.
 
@@ -165,16 +220,21 @@ def _top_by_class(lists: DataFrame, k: int, blocks: int) -> DataFrame:
     named = lists.withColumn("h", F.xxhash64("dims", "ws"))
     classes = named.groupBy("h", "dims", "ws").agg(F.min("item").alias("class"), F.count("*").alias("n"))
     classes = materialize(classes, "classes")
-    items, distinct = classes.agg(F.sum("n"), F.count("*")).first()
-    if items == distinct:
+    items, distinct, most = classes.agg(F.sum("n"), F.count("*"), F.max(F.size("dims"))).first()
+    by_subset = distinct > SUBSET_CLASSES and most <= SUBSET_DIMS
+    if items == distinct and not by_subset:
         return _block_top(lists, k, blocks)
     member = named.join(classes.where("n > 1").drop("n"), ["h", "dims", "ws"]).select("class", "item")
     alone = classes.where("n = 1").select("class", F.col("class").alias("item"))
     member = materialize(member.unionByName(alone), "members")
-    near = _block_top(classes.select(F.col("class").alias("item"), "dims", "ws"), k + 1, blocks, same=True)
-    near = top_per_group(near, ["item"], [F.desc("score"), F.col("other")], k + 1).drop("rank")
     lowest = top_per_group(member, ["class"], [F.col("item")], k + 1)
     lowest = lowest.groupBy("class").agg(F.collect_list("item").alias("others"))
+    if by_subset:
+        hits = _subset_top(classes.select("class", "dims", "ws"), lowest, k + 1, most)
+        hits = hits.groupBy("class").agg(F.collect_list(F.struct("other", "score")).alias("hits"))
+        return salted_join(member, hits, ["class"]).select("item", F.inline("hits")).where("item <> other")
+    near = _block_top(classes.select(F.col("class").alias("item"), "dims", "ws"), k + 1, blocks, same=True)
+    near = top_per_group(near, ["item"], [F.desc("score"), F.col("other")], k + 1).drop("rank")
     hits = near.join(lowest.withColumnRenamed("class", "other"), "other")
     hits = hits.select(F.col("item").alias("class"), F.explode("others").alias("other"), "score")
     hits = top_per_group(hits, ["class"], [F.desc("score"), F.col("other")], k + 1)

@@ -220,3 +220,26 @@ def test_targets_of_many_ratings_are_not_shuffled(spark, monkeypatch, user):
     }
     plan = best._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and plan.count("Exchange hashpartitioning(user") <= 2  # the second one is the initial plan
+
+
+@pytest.mark.parametrize("k", [1, 4, 30])
+def test_many_kinds_of_items_meet_by_shared_dimensions(spark, monkeypatch, k):
+    monkeypatch.setattr(sparse, "SUBSET_CLASSES", 0, raising=False)
+    monkeypatch.setattr(sparse, "PAIR_CELLS", 1e9)
+    blocks = []
+    monkeypatch.setattr(sparse, "_block_top", lambda *a, **b: blocks.append(a))
+    rng = np.random.default_rng(13)
+    rows = [(i, f"{c}{rng.integers(0, n)}", w) for i in range(60) for c, n, w in (("a", 2, 1.0), ("b", 3, 0.7), ("c", 4, 0.7), ("d", 9, 1.0)) if rng.random() < 0.9]
+    rows += [(i, "a0", 0.3) for i in range(60, 64)] + [(70, "only", 1.0)] + [r for r in rows if r[0] < 3]  # other weights, alone, twice
+    df = spark.createDataFrame(rows, "item long, dim string, w double").repartition(3)
+    got = {(r.item, r["rank"], r.other): r.score for r in sparse.sparse_topk(df, "item", "dim", "w", k).collect()}
+    want = {}
+    for i in {r[0] for r in rows}:
+        score = {}
+        for _, d, w in (r for r in rows if r[0] == i):
+            for j, e, v in rows:
+                if e == d and j != i:
+                    score[j] = score.get(j, 0.0) + w * v
+        best = sorted(score.items(), key=lambda e: (-round(e[1], 9), e[0]))[:k]
+        want |= {(i, n + 1, j): pytest.approx(s, abs=1e-8) for n, (j, s) in enumerate(best)}
+    assert got == want and not blocks
