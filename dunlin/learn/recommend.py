@@ -215,7 +215,7 @@ def content_predict(
     df: DataFrame, row_id: str, parts: dict[str, Column], score: str, k: int = 10
 ) -> DataFrame:
     """Mean score of the ``k`` nearest rows beside the actual score."""
-    near = content_neighbors(df, row_id, parts, k)
+    near = materialize(content_neighbors(df, row_id, parts, k), "near")  # counted before it is joined
     known = df.select(F.col(row_id).alias("neighbor"), F.col(score).alias("__s"))
     means = lookup_join(near, known, ["neighbor"]).groupBy("item").agg(F.avg("__s").alias("predicted"))
     actual = df.select(F.col(row_id).alias("item"), F.col(score).alias("actual"))
